@@ -1,0 +1 @@
+"""Left empty on purpose: every computation this package covers is a batch query."""
