@@ -163,10 +163,10 @@ def first_row_flag(
     before the shuffle, not by a window over the key.
     """
     position = F.struct(*order)
-    first = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(position).alias("__first"))
-    out = lookup(df, first, [Key(key, key)], ["__first"], salts=salts)
-    is_first = F.col(key).isNull() | position.eqNullSafe(F.col("__first"))
-    return out.withColumn(name, is_first).drop("__first")
+    first = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(position).alias("__first_place"))
+    out = lookup(df, first, [Key(key, key)], ["__first_place"], salts=salts)
+    is_first = F.col(key).isNull() | position.eqNullSafe(F.col("__first_place"))
+    return out.withColumn(name, is_first).drop("__first_place")
 
 
 def running_flag(

@@ -28,6 +28,7 @@ from ledgerloom.functions.scalars import (
     month_of,
     month_start,
     months_since,
+    net_money,
     normalize_id,
     not_in_list,
     safe_divide,
@@ -207,11 +208,12 @@ def reconciled_months(t: Tables, rules: R.Rules, v: Buildup) -> DataFrame:
         totals, ["holding_name", "service_date", "revenue_stream", "service_country"], "doc_class",
         keep_unclassed=True,
     )
-    net = net_of_tax("value_lc", "local_currency")
+    gross = F.col("value_lc").cast(R_MONEY_SUM)
+    net = net_money(net_of_tax(gross, "local_currency"))
     own = F.col("doc_class").isNotNull()
     split = kept.select(
         month_start("service_date").alias("full_date"), *grain,
-        F.when(own, net).otherwise(F.col("value_lc")).alias("value_lc"),
+        F.when(own, net).otherwise(net_money(gross)).alias("value_lc"),
         F.when(own, net).alias("convertible"), "usd_given", "quantity",
     )
     monthly = split.groupBy("full_date", *grain).agg(
