@@ -290,11 +290,15 @@ SELECT expense_id, transaction_id, document_id, full_date, accounting_account_id
 FROM {expense_facts}
 """,
     "accounts_a": f"""
-SELECT DISTINCT 'A' || {_text("a.p_size")} AS accounting_account_id,
-  CASE WHEN a.p_type = 'PROMO' THEN 'FINANCIAL HOUSE' ELSE 'MAIN HOUSE' END AS legal_entity_name,
-  'M' || {_text("a.p_size")} AS management_account_id, n.name AS management_account_name,
-  n.class AS management_account_classification, n.sub AS management_account_subclassification
-FROM {{part}} a JOIN {{account_list}} n ON a.p_size = n.size
+SELECT 'A' || {_text("size")} AS accounting_account_id, 'MAIN HOUSE' AS legal_entity_name,
+  'M' || {_text("size")} AS management_account_id, name AS management_account_name,
+  class AS management_account_classification, sub AS management_account_subclassification
+FROM {{account_list}}
+UNION ALL
+SELECT 'A' || {_text("size")} AS accounting_account_id, 'FINANCIAL HOUSE' AS legal_entity_name,
+  'F' || {_text("size")} AS management_account_id, name AS management_account_name,
+  class AS management_account_classification, sub AS management_account_subclassification
+FROM {{account_list}}
 """,
     "accounts_b": f"""
 SELECT 'A' || {_text("size")} AS accounting_account_id, name AS management_account_name,

@@ -95,14 +95,15 @@ def lookup(
         other = F.col(f"__k{i}")
         conditions.append(value.eqNullSafe(other) if key.null_safe else value == other)
 
-    out_columns = [*facts.columns, *attributes.values()]
+    helpers = [f"__k{i}" for i in range(len(keys))]
     if fits_broadcast(dim):
         joined = facts.join(F.broadcast(dim), conditions, how)
     else:
         left, right = _salted(facts, dim, salts)
         right = right.withColumnRenamed("__salt", "__dim_salt")
         joined = left.join(right, [*conditions, F.col("__salt") == F.col("__dim_salt")], how)
-    return joined.select(*[F.col(f"`{c}`") for c in out_columns])
+        helpers += ["__salt", "__dim_salt"]
+    return joined.drop(*helpers)
 
 
 def without_matches(

@@ -49,9 +49,15 @@ def conform_union(frames: Iterable[DataFrame], schema: T.StructType) -> DataFram
     return union_all(parts)
 
 
-def literal_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
-    """A small table given inline. Its size is known to Spark, so joins broadcast it."""
-    return spark.createDataFrame(rows, ddl)
+def literal_table(spark: SparkSession, rows: Sequence[tuple], columns: str) -> DataFrame:
+    """A small table given inline; `columns` reads 'name type, name type'. The rows are an array
+    literal of the plan, so Spark knows how small it is and joins broadcast it."""
+    fields = [part.split() for part in columns.split(",")]
+    structs = [
+        F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields, strict=True)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def month_spine(spark: SparkSession, start: dt.date, as_of: dt.date | None = None) -> DataFrame:

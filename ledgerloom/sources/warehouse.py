@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,23 +17,22 @@ class MissingColumns(ValueError):
     """A source lacks columns of its contract."""
 
 
-def _as_declared(df: DataFrame, field: T.StructField) -> F.Column:
-    actual = df.schema[field.name].dataType
-    column = F.col(f"`{field.name}`")
-    both_instants = isinstance(actual, T.TimestampNTZType) and isinstance(field.dataType, T.TimestampType)
-    exact_amount = isinstance(actual, T.DecimalType) and isinstance(field.dataType, T.DoubleType)
-    if actual == field.dataType or both_instants or exact_amount:
-        return column
-    return column.cast(field.dataType).alias(field.name)
+def _as_declared(name: str, actual: T.DataType, declared: T.DataType) -> str | Column:
+    both_instants = isinstance(actual, T.TimestampNTZType) and isinstance(declared, T.TimestampType)
+    exact_amount = isinstance(actual, T.DecimalType) and isinstance(declared, T.DoubleType)
+    if actual == declared or both_instants or exact_amount:
+        return name
+    return F.col(name).cast(declared).alias(name)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the contract's columns, by name, with its types. DATE/DATETIME become dates; decimal
     amounts and zone-less instants are kept as they are."""
-    absent = [f.name for f in schema if f.name not in df.columns]
+    actual = {f.name: f.dataType for f in df.schema}
+    absent = [f.name for f in schema if f.name not in actual]
     if absent:
         raise MissingColumns(f"columns not found: {', '.join(absent)}")
-    return df.select(*[_as_declared(df, f) for f in schema])
+    return df.select(*[_as_declared(f.name, actual[f.name], f.dataType) for f in schema])
 
 
 class Warehouse(Mapping):
