@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ledgerloom import build_session  # noqa: E402
+from ledgerloom.operators import lookup  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,11 +20,13 @@ def spark():
 
 
 @pytest.fixture(params=["broadcast", "shuffled"])
-def join_path(request, spark):
-    """Run a test once with checked broadcasts and once with the salted shuffle path."""
+def join_path(request, spark, monkeypatch):
+    """Run a test once with the broadcast path and once with the salted shuffle path."""
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda df: request.param == "broadcast")
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
-    spark.conf.set(key, "10MB" if request.param == "broadcast" else "-1")
+    if request.param == "shuffled":
+        spark.conf.set(key, "-1")
     yield request.param
     spark.conf.set(key, before)
 
