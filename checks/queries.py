@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -635,10 +636,16 @@ def consolidated_pnl(t: ViewTables) -> DataFrame:
     return pnl.consolidated_pnl(t, RULES, MIN_YEAR, LATER_MIN_YEAR, SINCE, SINCE)
 
 
+@lru_cache(maxsize=4)
+def _tables(spark: SparkSession, sf_dir: str) -> ViewTables:
+    """Lazy plans of the views, built once per session and folder."""
+    return ViewTables(apply_scale_settings(spark), sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runner(plan: Plan) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return portable(plan(ViewTables(apply_scale_settings(spark), sf_dir)))
+            return portable(plan(_tables(spark, sf_dir)))
 
         return run
 

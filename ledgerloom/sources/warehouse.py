@@ -18,6 +18,7 @@ class MissingColumns(ValueError):
 
 
 def _as_declared(name: str, actual: T.DataType, declared: T.DataType) -> str | Column:
+    """The column's name if its type may stay, else a cast."""
     both_instants = isinstance(actual, T.TimestampNTZType) and isinstance(declared, T.TimestampType)
     exact_amount = isinstance(actual, T.DecimalType) and isinstance(declared, T.DoubleType)
     if actual == declared or both_instants or exact_amount:
@@ -32,7 +33,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     absent = [f.name for f in schema if f.name not in actual]
     if absent:
         raise MissingColumns(f"columns not found: {', '.join(absent)}")
-    return df.select(*[_as_declared(f.name, actual[f.name], f.dataType) for f in schema])
+    columns = [_as_declared(f.name, actual[f.name], f.dataType) for f in schema]
+    unchanged = all(isinstance(c, str) for c in columns) and columns == df.columns
+    return df if unchanged else df.select(*columns)
 
 
 class Warehouse(Mapping):
