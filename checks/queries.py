@@ -111,7 +111,7 @@ def portable(df: DataFrame) -> DataFrame:
     for field in df.schema:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = c.cast("string")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(field.dataType, T.DecimalType):

@@ -8,9 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Copies of the build side when both sides are shuffled: a key holding a third of all rows is
-# spread over this many tasks.
-SALTS = 16
+
+def salt_count(df: DataFrame) -> int:
+    """Copies of the build side when both sides are shuffled: a key holding a third of all rows is
+    spread over this many tasks. Grows with the shuffle width. The salt also puts an exchange right
+    under each side of the join, which is what Spark needs to split a still skewed partition."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(4, min(64, width // 8))
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -65,7 +69,7 @@ def lookup(
     keys: Sequence[Key],
     attributes: Mapping[str, str] | Sequence[str],
     how: str = "left",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Add attributes of `dim` to `facts` by an equi-join.
 
@@ -99,7 +103,7 @@ def lookup(
     if fits_broadcast(dim):
         joined = facts.join(F.broadcast(dim), conditions, how)
     else:
-        left, right = _salted(facts, dim, salts)
+        left, right = _salted(facts, dim, salts or salt_count(facts))
         right = right.withColumnRenamed("__salt", "__dim_salt")
         joined = left.join(right, [*conditions, F.col("__salt") == F.col("__dim_salt")], how)
         helpers += ["__salt", "__dim_salt"]
@@ -107,13 +111,14 @@ def lookup(
 
 
 def without_matches(
-    facts: DataFrame, groups: DataFrame, keys: Sequence[str], only_where: Column, salts: int = SALTS
+    facts: DataFrame, groups: DataFrame, keys: Sequence[str], only_where: Column, salts: int | None = None
 ) -> DataFrame:
     """Drop rows that satisfy `only_where` and whose keys (NULL matching NULL) occur in `groups`.
 
     Rows outside `only_where` are never looked up: they carry a salt no group copy has, so they
     spread evenly over the tasks, and hot groups of the others spread over `salts` tasks.
     """
+    salts = salts or salt_count(facts)
     spread = F.lit(salts) + F.spark_partition_id()
     probe = F.when(only_where, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(spread)
     left = facts.withColumn("__salt", probe)
@@ -132,7 +137,7 @@ def without_matches(
 
 
 def group_value(
-    df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], salts: int = SALTS
+    df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], salts: int | None = None
 ) -> DataFrame:
     """Attach group aggregates to every row of the group (NULL keys form a group).
 
@@ -156,7 +161,7 @@ def latest_by(df: DataFrame, key: str, order: str, versions: DataFrame | None =
 
 
 def first_row_flag(
-    df: DataFrame, key: str, order: Sequence[str], name: str = "is_first", salts: int = SALTS
+    df: DataFrame, key: str, order: Sequence[str], name: str = "is_first", salts: int | None = None
 ) -> DataFrame:
     """Flag the first row of each key under a total order; rows with a NULL key are all first.
 
@@ -171,7 +176,7 @@ def first_row_flag(
 
 
 def running_flag(
-    df: DataFrame, keys: Sequence[str], order: str, condition: Column, name: str, salts: int = SALTS
+    df: DataFrame, keys: Sequence[str], order: str, condition: Column, name: str, salts: int | None = None
 ) -> DataFrame:
     """1 once any row of the group at or before this one (in `order`, NULL first, ties included)
     satisfies `condition`, else 0: a running maximum.
@@ -187,7 +192,7 @@ def running_flag(
 
 
 def share_of_total(
-    df: DataFrame, keys: Sequence[str], measure: str, name: str, salts: int = SALTS
+    df: DataFrame, keys: Sequence[str], measure: str, name: str, salts: int | None = None
 ) -> DataFrame:
     """Ratio of a measure to its total over the group, NULL for a zero total."""
     out = group_value(df, keys, {"__total": F.sum(measure)}, salts=salts)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.business import document_class
-from ledgerloom.operators.lookup import SALTS, without_matches
+from ledgerloom.operators.lookup import without_matches
 
 
 def reconcile(
@@ -16,7 +16,7 @@ def reconcile(
     group_keys: Sequence[str],
     flag: str = "document_binary",
     type_column: str | None = "document_type",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Keep actual documents, and provisional ones of groups without any actual one.
 

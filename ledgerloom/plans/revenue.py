@@ -226,27 +226,42 @@ R_MONEY_SUM = "decimal(28,4)"
 MONTH_MEASURES = ("value_lc", "convertible", "usd_given", "quantity")
 
 
-def revenue_base(t: Tables, months: DataFrame, v: Buildup) -> DataFrame:
-    """Contiguous months per series with zero-filled measures, USD value and invoice number."""
-    grain = [c for c in months.columns if c not in ("full_date", *MONTH_MEASURES)]
-    filled = gap_fill(months, "full_date", grain, MONTH_MEASURES)
-    if v.cohort == "first_seen":
-        grain = [c for c in grain if c != "holding_cohort"]
-        filled = filled.groupBy("full_date", *grain).agg(*[F.sum(c).alias(c) for c in MONTH_MEASURES])
-        filled = cohort_from_first(filled, ["holding_name"], "full_date")
-        grain.append("holding_cohort")
-    rated = with_rate(filled, t["fx_budget"], "full_date", "local_currency", "rate")
+def _valued(t: Tables, months: DataFrame) -> DataFrame:
+    """Local value, USD value and members as doubles; parts that are missing count as zero."""
+    rated = with_rate(months, t["fx_budget"], "full_date", "local_currency", "rate")
     zero = F.lit(0.0)
     converted = F.coalesce(safe_divide("convertible", "rate"), zero)
     return rated.select(
-        "full_date", *grain,
+        *[c for c in months.columns if c not in MONTH_MEASURES],
         F.coalesce(F.col("value_lc").cast("double"), zero).alias("value_lc"),
         (converted + F.coalesce(F.col("usd_given").cast("double"), zero)).alias("value_usd"),
         F.coalesce(F.col("quantity").cast("double"), zero).alias("members"),
-        months_since("full_date", "holding_cohort").alias("invoice_number"),
     )
 
 
+def revenue_base(t: Tables, months: DataFrame, v: Buildup) -> DataFrame:
+    """Contiguous months per series with zero-filled measures, USD value and invoice number.
+
+    With the dimension's cohort, a series and month is one row, so amounts are valued before the
+    gaps are filled, on the fewer rows. With the first month seen as cohort, series of one holding
+    merge after filling and their exact amounts are added before they are valued.
+    """
+    grain = [c for c in months.columns if c not in ("full_date", *MONTH_MEASURES)]
+    if v.cohort == "first_seen":
+        filled = gap_fill(months, "full_date", grain, MONTH_MEASURES)
+        merged = [c for c in grain if c != "holding_cohort"]
+        filled = filled.groupBy("full_date", *merged).agg(*[F.sum(c).alias(c) for c in MONTH_MEASURES])
+        base = _valued(t, cohort_from_first(filled, ["holding_name"], "full_date"))
+    else:
+        sparse = _valued(t, months)
+        measures = ("value_lc", "value_usd", "members")
+        filled = gap_fill(sparse, "full_date", grain, measures)
+        base = filled.select(
+            "full_date", *grain, *[F.coalesce(F.col(m), F.lit(0.0)).alias(m) for m in measures]
+        )
+    return base.withColumn("invoice_number", months_since("full_date", "holding_cohort"))
+
+
 SERIES_KEYS = ("holding_name", "revenue_stream", "service_country", "sponsor")
 MEASURES = ("members", "value_lc", "value_usd")
 
