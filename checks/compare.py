@@ -59,6 +59,7 @@ def compare(spark: SparkSession, connection: duckdb.DuckDBPyConnection, name: st
         "name": name, "rows": len(ours), "oracle_rows": len(theirs), "seconds": round(seconds, 2),
         "columns": sorted(df.columns) == sorted(theirs_columns), "types": types == theirs_types, "values": a == b,
         "type_difference": {n: (types.get(n), theirs_types.get(n)) for n in types if types.get(n) != theirs_types.get(n)},
+        "plan": df._jdf.queryExecution().executedPlan().toString(),
         "only_ours": list((a - b).elements())[:3], "only_oracle": list((b - a).elements())[:3],
     }
 

@@ -13,7 +13,11 @@ from ledgerloom.operators import lookup  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[8]", 8,
-        {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
+        {
+            "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
+            # The test tables are tiny: compiling code takes longer than interpreting it.
+            "spark.sql.codegen.wholeStage": "false",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
