@@ -19,7 +19,12 @@ def _links(n: int) -> str:
 
 def _body(kind: int) -> str:
     """Content blocks: headings, paragraphs of various lengths, lists, quotes, tables, figures."""
+    if kind % 5 == 0:  # very short articles
+        few = (1, 3, 5, 8)[kind // 5 % 4]
+        return f"<h1>{_text(few)}</h1><p>{_text(few, 3)}</p>" + f"<p>{_text(few)}</p>" * (kind // 5 % 3)
     parts = [f"<h1>{_text(7, kind)}</h1>", f"<p>{_text(60, kind)}</p>", f"<p>{_text(3, kind)}</p>", f"<p>{_text(25, kind)} <a href='/x'>ut labore</a> {_text(30)}</p>", f"<p>{_text(120)}</p>"]
+    if kind % 4 == 2:
+        parts += [f"<ul><li>{_text(3)}</li><li>{_text(2)}</li><li>{_text(4)}</li><li>{_text(2)}</li></ul>", f"<div>{_text(20)}</div>", f"<p>{_text(35)}</p>"]
     if kind % 2:
         parts += [f"<h2>{_text(4)}</h2><ul><li>{_text(12)}</li><li>{_text(5)}</li></ul>", f"<p>{_text(9)}</p>"]
     if kind % 3 == 1:
@@ -76,6 +81,8 @@ _INSIDE = (
     lambda: f"<div class='ad' data-label='other'>{_text(9)}</div>",
     lambda: f"<aside data-label='other'><p>{_text(16)}</p></aside>",
     lambda: f"<section class='comments' data-label='other'><p>{_text(30)}</p></section>",
+    lambda: f"<div id='comments' data-label='other'><h3>{_text(2)}</h3><div class='comment'><p>{_text(12)}</p></div></div>",
+    lambda: f"<div class='notice' data-label='other'><p>{_text(15)}</p></div>",
     lambda: f"<nav data-label='other'><ul>{_links(4)}</ul></nav>",
     lambda: f"<div class='share' data-label='other'><ul>{_links(3)}</ul></div>",
     lambda: f"<form data-label='other'><p>{_text(6)}</p></form>",
@@ -83,13 +90,19 @@ _INSIDE = (
 )
 
 
-def labelled_pages(n: int = 264) -> list[str]:
-    """Pages that combine the parts above in turn."""
+def labelled_pages(n: int = 1320) -> list[str]:
+    """Pages that combine the parts above in turn, pages whose blocks stand in the body beside other parts, and pages
+    that are nothing but content, marked by a leading comment."""
     pages = []
     for i in range(n):
         start, end = _HOLDERS[i % len(_HOLDERS)]
         before = _BEFORE[i % len(_BEFORE)]() + _BEFORE[(i // 3 + 4) % len(_BEFORE)]()
         after = _AFTER[i % len(_AFTER)]() + _AFTER[(i // 2 + 5) % len(_AFTER)]()
-        page = f"<html><head><title>{_text(3)}</title></head><body>{before}{start}{_body(i)}{_INSIDE[i % len(_INSIDE)]()}{end}{after}</body></html>"
+        content = start + _body(i) + _INSIDE[i % len(_INSIDE)]() + end
+        if i % 6 == 5:
+            content = _body(i + 1).replace("<p>", "<p data-label='content'>").replace("<h1>", "<h1 data-label='content'>")
+        page = f"<html><head><title>{_text(3)}</title></head><body>{before}{content}{after}</body></html>"
+        if i % 4 == 3:
+            page = "<!--content-->" + (_body(i // 4), _text(90), f"<html><body>{_body(i // 4)}</body></html>", f"<div><div>{_body(i // 4)}</div></div>")[i // 4 % 4]
         pages.append(page.replace("data-label='content'", 'data-label="content"').replace("data-label='other'", 'data-label="other"'))
     return pages

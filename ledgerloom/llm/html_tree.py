@@ -165,17 +165,20 @@ def parse(html: str) -> Page:
     return Page(elements, blocks)
 
 
-def _observations(page: Page) -> list[tuple[str, str, str, str]]:
-    """Tag, hint, amount of text and share of link text of each element, with all that it contains."""
+def _amount(n: int) -> str:
+    return "none" if not n else "short" if n < 40 else "middle" if n < 160 else "long"
+
+
+def _observations(page: Page) -> list[tuple[str, ...]]:
+    """Per element: tag with the share of link text, hint, and amounts of text of its own and with all it contains."""
     chars, linked = [e.chars for e in page.elements], [e.linked for e in page.elements]
     for i in range(len(page.elements) - 1, 0, -1):
         chars[page.elements[i].parent] += chars[i]
         linked[page.elements[i].parent] += linked[i]
     out = []
     for e, n, k in zip(page.elements, chars, linked, strict=True):
-        amount = "0" if not n else "s" if n < 40 else "m" if n < 160 else "l"
-        share = "0" if not k else "low" if k < 0.3 * n else "mid" if k < 0.7 * n else "high"
-        out.append((f"tag {e.tag}", f"hint {e.hint}", f"amount {amount}", f"links {share}"))
+        share = "no" if not k else "some" if k < 0.5 * n else "most"
+        out.append((f"tag {e.tag} {share}", f"hint {e.hint}", f"amount {_amount(n)}", f"own {_amount(e.chars)}"))
     return out
 
 
@@ -191,14 +194,17 @@ class TreeModel:
 
 def train(pages: Iterable[str], smoothing: float = 0.1) -> TreeModel:
     """Count the potentials on pages whose elements carry data-label="content" or "other"; an element without one
-    has its parent's label, the page itself is "other"."""
+    has its parent's label. The page itself is content if it opens with a comment that says so."""
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     pairs: Counter = Counter()
+    roots: Counter = Counter()
     for html in pages:
         page = parse(html)
         labels: list[int] = []
+        whole = int(html.startswith("<!--content-->"))
+        roots[whole] += 1
         for e, observed in zip(page.elements, _observations(page), strict=True):
-            y = 0 if e.parent < 0 and e.label is None else labels[e.parent] if e.label is None else int(e.label == "content")
+            y = whole if e.parent < 0 else labels[e.parent] if e.label is None else int(e.label == "content")
             labels.append(y)
             seen[y].update(observed)
             if e.parent >= 0:
@@ -211,7 +217,8 @@ def train(pages: Iterable[str], smoothing: float = 0.1) -> TreeModel:
     pair = tuple(
         tuple(log((pairs[a, b] + smoothing) / (pairs[a, 0] + pairs[a, 1] + 2 * smoothing)) for b in (0, 1)) for a in (0, 1)
     )
-    return TreeModel(unary, (0.0, 0.0), pair, (0.0, log(1e-3)))
+    root = tuple(log((roots[y] + smoothing) / (sum(roots.values()) + 2 * smoothing)) for y in (0, 1))
+    return TreeModel(unary, (0.0, 0.0), pair, root)
 
 
 def _add(a: float, b: float) -> float:

@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 @dataclass(frozen=True)
 class SearchSettings:
     k: int = 20
-    factor: float = 2.0
+    factor: float = 3.0
     shard_rows: int = 8192
     block_queries: int = 4096
     leaf_rows: int = 128
