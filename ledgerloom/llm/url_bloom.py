@@ -11,9 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORDS = 8  # of 64 bits in a block
-PROBES = 6
-
+from ledgerloom.llm.bloom import WORDS, bloom_blocks, possible
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host: after the first :// up to / ? # or the end, A-Z lower-cased. Path: from there up to ? or #. Both are
@@ -23,23 +21,6 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
 
 
-def _probe(key: Column, blocks: int) -> list[Column]:
-    """Block of a key, and one (word, bit) number from 0 to 511 per probe."""
-    h = F.xxhash64(key)
-    block = F.pmod(h, F.lit(blocks)).cast("int")
-    return [block, *[F.pmod(F.xxhash64(key, F.lit(i)), F.lit(64 * WORDS)).cast("int") for i in range(PROBES)]]
-
-
-def bloom_blocks(keys: DataFrame, blocks: int) -> DataFrame:
-    """(block, words): the filter's non-empty blocks, `blocks` rows of 64 bytes at most."""
-    block, *bits = _probe(F.col("key"), blocks)
-    set_ = keys.select(block.alias("block"), F.explode(F.array(*bits)).alias("bit"))
-    word = F.expr("bit_or(shiftleft(1L, bit % 64))")
-    words = set_.groupBy("block", (F.col("bit") / 64).cast("int").alias("word")).agg(word.alias("value"))
-    filled = [F.coalesce(F.max(F.when(F.col("word") == i, F.col("value"))), F.lit(0).cast("long")) for i in range(WORDS)]
-    return words.groupBy("block").agg(F.array(*filled).alias("words"))
-
-
 def judge_urls(
     pages: DataFrame, listed: DataFrame, default: str = "allow", bits_per_url: int = 16, max_blocks: int = 1 << 16
 ) -> DataFrame:
@@ -70,12 +51,8 @@ def judge_urls(
     asked = asked.select("host", "path", "suffix", F.explode("starts").alias("n")).where("suffix <> ''")
     asked = asked.select("host", "path", F.concat("suffix", F.lit("\n"), F.expr("substring(path, 1, n)")).alias("key"))
 
-    block, *bits = _probe(F.col("key"), blocks)
-    asked = asked.select("host", "path", "key", block.alias("block"), F.array(*bits).alias("bits"))
-    filter_ = F.broadcast(bloom_blocks(rules, blocks))
-    is_set = F.expr("forall(bits, b -> (shiftright(words[cast(b / 64 as int)], b % 64) & 1L) = 1L)")
-    possible = asked.join(filter_, "block").where(is_set).select("host", "path", "key")
-    hits = possible.join(rules, "key")
+    asked = possible(asked, F.col("key"), bloom_blocks(rules, F.col("key"), blocks), blocks)
+    hits = asked.join(rules, "key")
     order = F.min(F.struct((-F.char_length("rule")).alias("n"), F.col("verdict"), F.col("rule")))
     won = hits.groupBy("host", "path").agg(order.alias("won")).select("host", "path", "won.rule", "won.verdict")
     judged = rows.join(won, ["host", "path"], "left")
