@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.bloom import bloom_blocks, possible
 from ledgerloom.llm.components import components
 from ledgerloom.llm.staging import staged
 
@@ -33,7 +34,8 @@ SHINGLE = 5
 @dataclass(frozen=True)
 class MinHashSettings:
     """`bands` of `rows` positions. The chance that a pair at the threshold shares no band is
-    (1 - threshold ** rows) ** bands, 6e-6 by default. `percent`: similarity threshold in hundredths."""
+    (1 - threshold ** rows) ** bands, 6e-6 by default. `percent`: similarity threshold in hundredths.
+    `block`: members compared at a time; `filter_blocks`: size of the filter of wanted ids, in units of 64 bytes."""
 
     bands: int = 32
     rows: int = 4
@@ -41,6 +43,7 @@ class MinHashSettings:
     batch: int = 16
     miss_probability: float = 1e-6
     block: int = 2048
+    filter_blocks: int = 1 << 15
 
     @property
     def positions(self) -> int:
@@ -154,63 +157,97 @@ def _surviving(pairs: DataFrame, sigs: DataFrame, s: MinHashSettings) -> DataFra
     return joined.mapInArrow(run, "a long, b long").distinct()
 
 
-def _blocked_pairs(rest: DataFrame, s: MinHashSettings) -> DataFrame:
-    """Survivors among members of one bucket that lie in different components.
+def _compact(texts: DataFrame, s: MinHashSettings) -> DataFrame:
+    """(rep, sig, codes): signature, and the shingle hashes cut to 32 bits, which can only make sets look more alike."""
 
-    `rest`: bkey, band, rep, comp, sig, main (in the bucket's largest component), n_main, n_out. Members of the
-    largest component need no comparison among themselves, so they are dealt into blocks once; only the others are
-    copied to every block. A group holds at most about two blocks, however large the bucket.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(words_of(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array([signature(h, s.positions).tobytes() for h in sets], pa.binary()),
+                    pa.array([(h >> np.uint64(32)).astype("<u4").tobytes() for h in sets], pa.binary()),
+                ],
+                names=["rep", "sig", "codes"],
+            )
+
+    return texts.mapInArrow(run, "rep long, sig binary, codes binary")
+
+
+def _linking_pairs(rest: DataFrame, s: MinHashSettings) -> DataFrame:
+    """Pairs that link members of one bucket across components.
+
+    `rest`: bkey, band, rep, comp, sig, codes, main (in the bucket's largest component), n_main, n_out. Members of
+    the largest component need no comparison among themselves, so they are dealt into blocks once; only the others
+    are copied to every block. A group holds about two blocks at most, however large the bucket. Inside a group,
+    pairs that survive the signatures are held against the sets, and each pair that joins two components is given
+    once: a link between components that are already joined would change nothing. So the pairs given number less
+    than the members.
     """
     limits = fewest_matches(s.batch, s.positions, s.percent, s.miss_probability)
     parts = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(s.block)).cast("int"))
-    dealt = rest.withColumn("blocks_main", parts("n_main")).withColumn("blocks_out", parts("n_out"))
     deal = F.xxhash64("rep", "bkey")
+    dealt = rest.withColumn("blocks_main", parts("n_main")).withColumn("blocks_out", parts("n_out"))
     own = F.when(F.col("main"), F.pmod(deal, F.col("blocks_main"))).otherwise(F.pmod(deal, F.col("blocks_out")))
     dealt = dealt.withColumn("own", own.cast("int"))
-    main = dealt.where("main").select("bkey", "band", "rep", "comp", "sig", F.lit(-1).alias("i"), F.col("own").alias("j"), F.lit(0).alias("side"))
+    fields = ["bkey", "band", "rep", "comp", "sig", "codes"]
+    main = dealt.where("main").select(*fields, F.lit(-1).alias("i"), F.col("own").alias("j"), F.lit(0).alias("side"))
     out = dealt.where("not main")
-    # Others against the largest component: a copy per block of it. -1 marks that kind of group.
-    to_main = out.select("bkey", "band", "rep", "comp", "sig", F.lit(-1).alias("i"), F.explode(F.expr("sequence(0, blocks_main - 1)")).alias("j"), F.lit(1).alias("side"))
+    # Others against the largest component: a copy per block of it; i = -1 marks that kind of group.
+    to_main = out.select(*fields, F.lit(-1).alias("i"), F.explode(F.expr("sequence(0, blocks_main - 1)")).alias("j"), F.lit(1).alias("side"))
     # Others among themselves: each pair of their blocks is one group.
-    other = F.explode(F.expr("sequence(0, blocks_out - 1)"))
-    among = out.withColumn("other", other).select(
-        "bkey", "band", "rep", "comp", "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+    among = out.withColumn("other", F.explode(F.expr("sequence(0, blocks_out - 1)"))).select(
+        *fields, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
     groups = main.unionByName(to_main).unionByName(among)
 
     def compare(table: pa.Table) -> pa.Table:
-        reps, comps, sides = (table.column(c).to_numpy() for c in ("rep", "comp", "side"))
+        reps, comps, sides = (table.column(c).to_numpy().copy() for c in ("rep", "comp", "side"))
         sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, s.positions)
+        codes = [np.frombuffer(c, "<u4") for c in table.column("codes").to_pylist()]
+        sizes = np.array([len(c) for c in codes])
         band = table.column("band")[0].as_py()
-        own = np.flatnonzero(sides != 1)
-        others = np.flatnonzero(sides != 0)
+        # The outer loop goes over the side without the largest component, which is the smaller one.
+        inner, outer = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
         left, right = [], []
-        for x in own:
-            against = others[(comps[others] != comps[x])]
+        for x in outer:
+            against = inner[comps[inner] != comps[x]]
             if sides[x] == 2:
                 against = against[against > x]
-            if not len(against):
-                continue
-            hits = against[plausible(sigs[x], sigs[against], limits)]
-            if len(hits):
-                # Each pair is given by the first band that it shares, not once per band.
-                same = (sigs[hits] == sigs[x]).reshape(len(hits), s.bands, s.rows).all(axis=2)
-                hits = hits[same.argmax(axis=1) == band]
-                left.append(np.full(len(hits), reps[x]))
-                right.append(reps[hits])
-        a = np.concatenate(left) if left else np.empty(0, np.int64)
-        b = np.concatenate(right) if right else np.empty(0, np.int64)
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+            against = against[plausible(sigs[x], sigs[against], limits)]
+            # Each pair is judged in the first band that it shares, not once per band.
+            same = (sigs[against] == sigs[x]).reshape(len(against), s.bands, s.rows).all(axis=2)
+            against = against[same.argmax(axis=1) == band]
+            for at in range(0, len(against), 256):
+                some = against[at : at + 256]
+                some = some[comps[some] != comps[x]]
+                if not len(some):
+                    continue
+                shared = np.isin(np.concatenate([codes[y] for y in some]), codes[x])
+                shared = np.add.reduceat(shared.astype(np.int64), np.cumsum(sizes[some]) - sizes[some])
+                for y in some[100 * shared >= s.percent * (sizes[some] + sizes[x] - shared)]:
+                    if comps[y] != comps[x]:
+                        left.append(min(reps[x], reps[y]))
+                        right.append(max(reps[x], reps[y]))
+                        comps[comps == comps[y]] = comps[x]
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
     return groups.groupBy("bkey", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
+def _texts_of(ids: DataFrame, docs: DataFrame, s: MinHashSettings) -> DataFrame:
+    """(id, text) of the given ids. A Bloom filter of bounded size keeps other texts out of the exact semi-join; the
+    more ids there are for its size, the more texts only the join removes."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    near = possible(texts, F.col("id"), bloom_blocks(ids, F.col("id"), s.filter_blocks), s.filter_blocks)
+    return near.join(ids, "id", "left_semi")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, s: MinHashSettings) -> DataFrame:
     """Pairs whose full shingle sets reach the threshold."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = staged(texts.join(wanted, "id", "left_semi"), "texts")
+    texts = staged(_texts_of(wanted, docs, s), "texts")
     joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     joined = joined.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -273,8 +310,9 @@ def near_duplicates(docs: DataFrame, settings: MinHashSettings = MinHashSettings
     shape = shape.where("k > 1").select(
         "bkey", F.col("top.comp").alias("main_comp"), F.col("top.n").alias("n_main"), (F.col("n") - F.col("top.n")).alias("n_out")
     )
-    rest = left.join(shape, "bkey").withColumn("main", F.col("comp") == F.col("main_comp")).join(sigs, "rep")
-    second = staged(_blocked_pairs(rest, s), "pairs")
+    rest = staged(left.join(shape, "bkey").withColumn("main", F.col("comp") == F.col("main_comp")), "rest")
+    texts = _texts_of(rest.select(F.col("rep").alias("id")).distinct(), docs, s)
+    second = staged(_linking_pairs(rest.join(_compact(texts, s), "rep"), s), "pairs")
     links = links.unionByName(_confirmed(second, docs, s))
     comps = components(links)
 
