@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 def splitter(pattern: str) -> tuple[Callable[[str], list[str]], Callable[[str], list[str]]]:
@@ -78,7 +79,7 @@ class Memo(dict):
 def slices(batch: pa.RecordBatch, column: int, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Row ranges of a batch with about `chars` bytes of text each, one row at least."""
     texts, start, held = batch.column(column), 0, 0
-    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     for row, size in enumerate(sizes):
         if held and held + size > chars:
             yield batch.slice(start, row - start)
