@@ -886,7 +886,7 @@ SELECT DISTINCT product_cohort, c.service_country, c.legal_client_id, holding_na
 FROM (SELECT MIN(service_date) AS product_cohort, legal_entity_country AS service_country,
         {key("legal_client_id")} AS legal_client_id
       FROM {{ledger_current}} WHERE product IN ('S.C', 'S.C cargas') AND legal_entity_country IN ('CL', 'MX')
-      GROUP BY ledger_current.legal_client_id, legal_entity_country) c
+      GROUP BY {key("legal_client_id")}, legal_entity_country) c
 LEFT JOIN {{holdings}} h ON c.legal_client_id = h.tax_id_client""", "product_cohort"),
     "new_activations": iso(f"""
 SELECT d.deal_country, c.company_legal_id, c.company_name, d.product_modules, d.development_type_use, d.activation_date

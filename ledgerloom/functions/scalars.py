@@ -62,8 +62,9 @@ def to_long(c: ColumnLike) -> Column:
 
 
 def text_to_long(c: ColumnLike) -> Column:
-    """Text holding a number to integer, through a float, rounding; NULL when it is no number."""
-    return to_long(as_column(c).try_cast("double"))
+    """Text holding a number to integer, rounding half away from zero, exact for all digits; NULL when it is no number
+    or too large."""
+    return F.round(as_column(c).try_cast("decimal(38,18)")).try_cast("long")
 
 
 def tax_factor(currency: ColumnLike, factors: Mapping[str, str]) -> Column:

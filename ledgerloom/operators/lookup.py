@@ -9,38 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def salt_count(df: DataFrame) -> int:
-    """Copies of the build side when both sides are shuffled: a key holding a third of all rows is
-    spread over this many tasks. Grows with the shuffle width. The salt also puts an exchange right
-    under each side of the join, which is what Spark needs to split a still skewed partition."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4, min(64, width // 8))
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, without running it. None where it cannot be read."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except AttributeError:
-        return None
-
-
-def _to_bytes(text: str) -> int:
-    text = text.strip().lower().removesuffix("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    if text and text[-1] in units:
-        return int(text[:-1]) * units[text[-1]]
-    return int(text)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when the estimated size is within the session's broadcast threshold."""
-    limit = _to_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    size = estimated_bytes(df)
-    return size is not None and 0 <= size <= limit
-
-
 @dataclass(frozen=True)
 class Key:
     """One pair of join columns, each optionally normalised, optionally matching NULL with NULL."""
@@ -57,10 +25,11 @@ def same(*names: str, null_safe: bool = False) -> list[Key]:
     return [Key(n, n, null_safe=null_safe) for n in names]
 
 
-def _salted(left: DataFrame, right: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
-    left = left.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return left, right.withColumn("__salt", copies)
+def _zero(*names: str) -> Column:
+    """0, in a way that the optimiser doesn't turn into a constant. As one more key of a join it puts an exchange
+    right under each side, even under a side that is already grouped by the other keys: Spark splits a skewed
+    partition only there."""
+    return F.pmod(F.xxhash64(*names), F.lit(1).cast("long"))
 
 
 def lookup(
@@ -69,14 +38,12 @@ def lookup(
     keys: Sequence[Key],
     attributes: Mapping[str, str] | Sequence[str],
     how: str = "left",
-    salts: int | None = None,
 ) -> DataFrame:
     """Add attributes of `dim` to `facts` by an equi-join.
 
-    A dimension whose estimated size is within the broadcast threshold is broadcast, so the facts
-    are not shuffled. Beyond it both sides are shuffled on (salt, keys): facts take the salt of
-    their input partition, the dimension is copied once per salt, and a hot or NULL key cannot end
-    in one task. Duplicate keys in `dim` fan rows out, as a join does.
+    Spark decides from measured sizes whether the dimension is broadcast, and splits the partition of a hot key. Facts
+    of a left join whose key is NULL match nothing; they are dealt by their input partition, so they don't meet in one
+    task. Duplicate keys in `dim` fan rows out, as a join does.
     """
     if not isinstance(attributes, Mapping):
         attributes = {name: name for name in attributes}
@@ -88,56 +55,48 @@ def lookup(
     for i, key in enumerate(keys):
         value = F.col(key.right)
         dim_keys.append((key.right_by(value) if key.right_by else value).alias(f"__k{i}"))
+    names = [f"__k{i}" for i in range(len(keys))]
     dim = dim.select(*dim_keys, *[F.col(a).alias(n) for a, n in attributes.items()])
-    if not any(key.null_safe for key in keys):
-        dim = dim.filter(" AND ".join(f"__k{i} IS NOT NULL" for i in range(len(keys))))
+    strict = [n for n, key in zip(names, keys, strict=True) if not key.null_safe]
+    if strict:
+        dim = dim.filter(" AND ".join(f"{n} IS NOT NULL" for n in strict))
 
-    conditions = []
-    for i, key in enumerate(keys):
+    values = []
+    for key in keys:
         value = F.col(key.left) if isinstance(key.left, str) else key.left
-        value = key.left_by(value) if key.left_by else value
-        other = F.col(f"__k{i}")
-        conditions.append(value.eqNullSafe(other) if key.null_safe else value == other)
-
-    helpers = [f"__k{i}" for i in range(len(keys))]
-    if fits_broadcast(dim):
-        joined = facts.join(F.broadcast(dim), conditions, how)
-    else:
-        left, right = _salted(facts, dim, salts or salt_count(facts))
-        right = right.withColumnRenamed("__salt", "__dim_salt")
-        joined = left.join(right, [*conditions, F.col("__salt") == F.col("__dim_salt")], how)
-        helpers += ["__salt", "__dim_salt"]
-    return joined.drop(*helpers)
-
-
-def without_matches(
-    facts: DataFrame, groups: DataFrame, keys: Sequence[str], only_where: Column, salts: int | None = None
-) -> DataFrame:
+        values.append(key.left_by(value) if key.left_by else value)
+    left = facts.withColumns({f"__f{i}": v for i, v in enumerate(values)})
+    unmatched = F.lit(False)
+    for i, key in enumerate(keys):
+        if not key.null_safe:
+            unmatched = unmatched | F.col(f"__f{i}").isNull()
+    left = left.withColumn("__deal", F.when(unmatched, F.lit(1) + F.spark_partition_id()).otherwise(F.lit(0)).cast("long"))
+    right = dim.withColumn("__zero", _zero(*names))
+    conditions = [F.col("__deal") == F.col("__zero")]
+    for i, key in enumerate(keys):
+        mine, other = F.col(f"__f{i}"), F.col(f"__k{i}")
+        conditions.append(mine.eqNullSafe(other) if key.null_safe else mine == other)
+    helpers = [*names, *[f"__f{i}" for i in range(len(keys))], "__deal", "__zero"]
+    return left.join(right, conditions, how).drop(*helpers)
+
+
+def without_matches(facts: DataFrame, groups: DataFrame, keys: Sequence[str], only_where: Column) -> DataFrame:
     """Drop rows that satisfy `only_where` and whose keys (NULL matching NULL) occur in `groups`.
 
-    Rows outside `only_where` are never looked up: they carry a salt no group copy has, so they
-    spread evenly over the tasks, and hot groups of the others spread over `salts` tasks.
+    Rows outside `only_where` match nothing and are dealt by their input partition, so they spread evenly; a hot
+    group of the others is split by Spark.
     """
-    salts = salts or salt_count(facts)
-    spread = F.lit(salts) + F.spark_partition_id()
-    probe = F.when(only_where, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(spread)
-    left = facts.withColumn("__salt", probe)
-    right = groups.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)])
-    if fits_broadcast(right):
-        match = [F.col(k).eqNullSafe(F.col(f"__g{i}")) for i, k in enumerate(keys)]
-        return facts.withColumn("__probe", only_where).join(
-            F.broadcast(right.withColumn("__hit", F.lit(True))),
-            [*match, F.col("__probe") == F.col("__hit")],
-            "left_anti",
-        ).select(*facts.columns)
-    right = right.withColumn("__dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    match = [F.col(k).eqNullSafe(F.col(f"__g{i}")) for i, k in enumerate(keys)]
-    kept = left.join(right, [*match, F.col("__salt") == F.col("__dim_salt")], "left_anti")
+    deal = F.when(only_where, F.lit(0)).otherwise(F.lit(1) + F.spark_partition_id()).cast("long")
+    left = facts.withColumn("__deal", deal)
+    names = [f"__g{i}" for i in range(len(keys))]
+    right = groups.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).withColumn("__zero", _zero(*names))
+    match = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
+    kept = left.join(right, [*match, F.col("__deal") == F.col("__zero")], "left_anti")
     return kept.select(*facts.columns)
 
 
 def group_value(
-    df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], salts: int | None = None
+    df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]
 ) -> DataFrame:
     """Attach group aggregates to every row of the group (NULL keys form a group).
 
@@ -145,7 +104,7 @@ def group_value(
     task has to hold a whole group.
     """
     grouped = df.groupBy(*keys).agg(*[v.alias(n) for n, v in values.items()])
-    return lookup(df, grouped, same(*keys, null_safe=True), list(values), salts=salts)
+    return lookup(df, grouped, same(*keys, null_safe=True), list(values))
 
 
 def latest_by(df: DataFrame, key: str, order: str, versions: DataFrame | None = None) -> DataFrame:
@@ -161,7 +120,7 @@ def latest_by(df: DataFrame, key: str, order: str, versions: DataFrame | None =
 
 
 def first_row_flag(
-    df: DataFrame, key: str, order: Sequence[str], name: str = "is_first", salts: int | None = None
+    df: DataFrame, key: str, order: Sequence[str], name: str = "is_first"
 ) -> DataFrame:
     """Flag the first row of each key under a total order; rows with a NULL key are all first.
 
@@ -170,13 +129,13 @@ def first_row_flag(
     """
     position = F.struct(*order)
     first = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(position).alias("__first_place"))
-    out = lookup(df, first, [Key(key, key)], ["__first_place"], salts=salts)
+    out = lookup(df, first, [Key(key, key)], ["__first_place"])
     is_first = F.col(key).isNull() | position.eqNullSafe(F.col("__first_place"))
     return out.withColumn(name, is_first).drop("__first_place")
 
 
 def running_flag(
-    df: DataFrame, keys: Sequence[str], order: str, condition: Column, name: str, salts: int | None = None
+    df: DataFrame, keys: Sequence[str], order: str, condition: Column, name: str
 ) -> DataFrame:
     """1 once any row of the group at or before this one (in `order`, NULL first, ties included)
     satisfies `condition`, else 0: a running maximum.
@@ -186,15 +145,15 @@ def running_flag(
     """
     place = F.struct(F.col(order).isNotNull().alias("known"), F.col(order).alias("value"))
     hits = df.filter(condition).groupBy(*keys).agg(F.min(place).alias("__hit"))
-    out = lookup(df, hits, same(*keys, null_safe=True), ["__hit"], salts=salts)
+    out = lookup(df, hits, same(*keys, null_safe=True), ["__hit"])
     reached = F.col("__hit").isNotNull() & (place >= F.col("__hit"))
     return out.withColumn(name, F.when(reached, 1).otherwise(0)).drop("__hit")
 
 
 def share_of_total(
-    df: DataFrame, keys: Sequence[str], measure: str, name: str, salts: int | None = None
+    df: DataFrame, keys: Sequence[str], measure: str, name: str
 ) -> DataFrame:
     """Ratio of a measure to its total over the group, NULL for a zero total."""
-    out = group_value(df, keys, {"__total": F.sum(measure)}, salts=salts)
+    out = group_value(df, keys, {"__total": F.sum(measure)})
     share = F.try_divide(F.col(measure).cast("double"), F.col("__total").cast("double"))
     return out.withColumn(name, share).drop("__total")

@@ -16,7 +16,6 @@ def reconcile(
     group_keys: Sequence[str],
     flag: str = "document_binary",
     type_column: str | None = "document_type",
-    salts: int | None = None,
 ) -> DataFrame:
     """Keep actual documents, and provisional ones of groups without any actual one.
 
@@ -28,7 +27,7 @@ def reconcile(
     lines = df if type_column is None else df.withColumn(flag, document_class(type_column))
     lines = lines.filter(F.col(flag).isNotNull())
     settled = lines.filter(F.col(flag) == 1).select(*group_keys).distinct()
-    return without_matches(lines, settled, group_keys, F.col(flag) == 0, salts=salts)
+    return without_matches(lines, settled, group_keys, F.col(flag) == 0)
 
 
 def reconcile_totals(

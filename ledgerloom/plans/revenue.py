@@ -521,27 +521,16 @@ def mixed_product_check(
     )
 
 
-def product_cohort(
-    t: Tables, countries: Sequence[str] = ("CL", "MX"), by_stored_id: bool = True
-) -> DataFrame:
-    """First service date of the main family per client and country.
-
-    With `by_stored_id` a client spelled in two ways gives a row per spelling and date; without it
-    spellings are unified before grouping.
-    """
+def product_cohort(t: Tables, countries: Sequence[str] = ("CL", "MX")) -> DataFrame:
+    """First service date of the main family per client and country; spellings of a client's id are unified first."""
     raw = t["ledger_current"].filter(
         F.col("product").isin(*R.MAIN_FAMILY) & F.col("legal_entity_country").isin(*countries)
     )
     label = F.when(F.col("product").isin(*R.MAIN_FAMILY), "health").otherwise("legacy")
-    if not by_stored_id:
-        raw = raw.withColumn("legal_client_id", normalize_id("legal_client_id"))
-    first = raw.groupBy("legal_entity_country", "legal_client_id", label.alias("product")).agg(
-        F.min("service_date").alias("product_cohort")
-    )
-    cohorts = first.select(
-        "product_cohort", F.col("legal_entity_country").alias("service_country"),
-        normalize_id("legal_client_id").alias("legal_client_id"), "product",
-    ).distinct()
+    cohorts = raw.groupBy(
+        F.col("legal_entity_country").alias("service_country"), normalize_id("legal_client_id").alias("legal_client_id"),
+        label.alias("product"),
+    ).agg(F.min("service_date").alias("product_cohort"))
     names = t["holdings"].select("tax_id_client", "holding_name").distinct()
     joined = lookup(cohorts, names, [Key("legal_client_id", "tax_id_client")], ["holding_name"])
     return joined.select("product_cohort", "service_country", "legal_client_id", "holding_name", "product").distinct()

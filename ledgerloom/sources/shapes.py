@@ -76,7 +76,7 @@ def calendar_months(
 
 
 def within_spine(c: ColumnLike, start: dt.date, as_of: dt.date | None = None) -> Column:
-    """Condition equal to an inner join with the month spine: the month of `c` is one of its
-    months. No join is needed."""
-    month = month_start(as_column(c))
-    return (month >= F.trunc(F.lit(start), "MONTH")) & (month <= today(as_of))
+    """Condition equal to an inner join with the month spine: the month of `c` is one of its months. No join is
+    needed, and the bounds are on `c` itself, so that they reach the file scan."""
+    value = as_column(c)
+    return (value >= F.trunc(F.lit(start), "MONTH")) & (value < F.add_months(F.trunc(today(as_of), "MONTH"), 1))

@@ -6,7 +6,6 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ledgerloom import build_session  # noqa: E402
-from ledgerloom.operators import lookup  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,9 +23,8 @@ def spark():
 
 
 @pytest.fixture(params=["broadcast", "shuffled"])
-def join_path(request, spark, monkeypatch):
-    """Run a test once with the broadcast path and once with the salted shuffle path."""
-    monkeypatch.setattr(lookup, "fits_broadcast", lambda df: request.param == "broadcast")
+def join_path(request, spark):
+    """Run a test once with broadcast joins and once with shuffled ones."""
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
     if request.param == "shuffled":

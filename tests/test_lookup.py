@@ -19,31 +19,51 @@ def test_lookup_normalised_keys_fan_out_and_nulls(spark, join_path):
 
 
 def test_lookup_of_a_hot_key_spreads_over_tasks(spark, join_path):
-    facts = spark.range(0, 9000, 1, 12).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    facts = spark.range(0, 9000, 1, 12).select("id", hot.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
     dim = spark.range(0, 9000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     joined = L.lookup(facts, dim, [L.Key("k", "k")], ["v"])
     assert joined.count() == 9000
     assert joined.filter(F.col("v") != F.col("k") * 2).count() == 0
-    merging = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(merging, "false")  # so that the small test partitions are not merged again
+    # So that the small test partitions count as large ones and are not merged again.
+    scale = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k) for k in scale}
+    for k, v in scale.items():
+        spark.conf.set(k, v)
     try:
-        per_task = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.sum((F.col("k") == 0).cast("int")).alias("n"))
+        per_task = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.sum((F.col("k") == 0).cast("int")).alias("n"), F.max("pad"))
         counts = [r["n"] for r in per_task.collect() if r["n"]]
     finally:
-        spark.conf.set(merging, "true")
+        for k, v in before.items():
+            spark.conf.set(k, v)
     assert sum(counts) == 3000 and len(counts) > 1 and max(counts) < 3000
 
 
-def test_size_check_decides_the_join(spark):
-    small = literal_table(spark, [(1, "a"), (2, None)], "k int, v string")
-    assert small.count() == 2 and L.fits_broadcast(small)
-    plan = L.lookup(spark.range(10), small, [L.Key("id", "k")], ["v"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan
-    assert not L.fits_broadcast(spark.range(10**9).select(F.col("id").alias("k")))
-    facts = spark.range(10)
+def test_null_keys_of_a_left_join_spread_over_tasks(spark):
+    facts = spark.range(0, 9000, 1, 12).select("id", F.when(F.col("id") < 0, F.col("id")).alias("k"))
+    dim = spark.range(0, 9000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        joined = L.lookup(facts, dim, [L.Key("k", "k")], ["v"])
+        tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(tasks) == 9000 and len(tasks) > 3 and max(tasks) < 6000
+
+
+def test_build_side_is_neither_copied_nor_forced(spark):
+    small = literal_table(spark, [(1, "a"), (2, None)], "k int, v string").groupBy("k").agg(F.max("v").alias("v"))
     big = spark.range(10**8).select(F.col("id").alias("k"), F.col("id").alias("v"))
-    plan = L.lookup(facts, big, [L.Key("id", "k")], ["v"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in plan and "sequence" in plan.lower() or "__salt" in plan
+    for dim, copies in ((small, 1), (big, 0)):  # the literal table itself unfolds one array
+        plan = L.lookup(spark.range(10), dim, [L.Key("id", "k")], ["v"])._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Generate") == copies and "strategy=broadcast" not in plan
 
 
 GROUPS = [  # id, holding, month, stream, country, type

@@ -34,3 +34,22 @@ def test_entry_point(spark):
     assert entry.entry(spark).count() > 0
     assert set(queries()) <= set(entry.queries())
     assert set(queries()) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
+SHUFFLED = (
+    "latest_version", "first_time_company", "rewards_loaded", "rewards_orders", "rewards_redeemed", "rewards_voided", "client_revenue_share",
+    "qa_running_flag", "allocate_reassign", "revenue_lines", "buildup_main_family", "engagement_by_segment", "cutover_union",
+)
+
+
+@pytest.mark.parametrize("name", SHUFFLED)
+def test_query_equals_sql_without_broadcast(spark, connection, sf_dir, name):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        r = compare(spark, connection, name, sf_dir)
+    finally:
+        spark.conf.set(key, before)
+    assert r["columns"] and r["types"] and r["values"], (r["only_ours"], r["only_oracle"])
+    assert [f for f in (*FORBIDDEN, "BroadcastHashJoin") if f in r["plan"]] == []

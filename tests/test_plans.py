@@ -197,3 +197,19 @@ def test_rewards_loaded_pattern_and_months(tables):
     assert got.filter(~F.col("transactionId").rlike(r"OP\d+|[MX|CO|CL|COP|PE]-\d+")).count() == 0
     assert [tuple(r) for r in got.select("AnoMes Loaded").distinct().collect()] == [(202401,)]
     assert rewards.loaded(tables, RULES, dt.date(2024, 1, 1), dt.date(2023, 12, 31)).count() == 0
+
+
+def test_product_cohort_unifies_spellings_of_an_id(spark):
+    import datetime as dt
+
+    from ledgerloom.plans.revenue import product_cohort
+
+    day = dt.date(2024, 5, 1)
+    ledger = spark.createDataFrame(
+        [("7.1-k", "CL", "S.C", day), ("71K", "CL", "S.C", dt.date(2024, 3, 1)), ("71K", "MX", "S.C", day), ("71K", "CL", "other", day)],
+        "legal_client_id string, legal_entity_country string, product string, service_date date",
+    )
+    holdings = spark.createDataFrame([("71K", "H")], "tax_id_client string, holding_name string")
+    got = product_cohort({"ledger_current": ledger, "holdings": holdings})
+    assert sorted((r["product_cohort"], r["service_country"], r["legal_client_id"], r["holding_name"]) for r in got.collect()) == [
+        (dt.date(2024, 3, 1), "CL", "71K", "H"), (day, "MX", "71K", "H")]
