@@ -72,7 +72,7 @@ class LibraryEncoder:
     the split of its byte-level pre-tokenizer.
     """
 
-    def __init__(self, path: str, pattern: str, memo_units: int = 400_000):
+    def __init__(self, path: str, pattern: str, memo_units: int = 700_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -170,9 +170,9 @@ def _shard_starts(blocks: DataFrame) -> DataFrame:
     return blocks.sparkSession.createDataFrame(rows, "shard int, base long")
 
 
-def read_pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, doc_seq, doc_id, start, n_ids, ids): one row per document and block, start counted over all shards,
-    ids as little-endian unsigned 32-bit bytes. No shuffle: blocks are decoded where they are read."""
+def _decoded(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The blocks of a token folder, and (shard, doc_seq, doc_id, local_start, n_ids, ids) per document and block,
+    decoded where the blocks are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,9 +195,15 @@ def read_pieces(spark: SparkSession, path: str) -> DataFrame:
 
     blocks = spark.read.schema(_LAYOUT).parquet(path)
     pieces = blocks.mapInArrow(run, "shard int, doc_seq long, doc_id long, local_start long, n_ids long, ids binary")
-    start = F.col("base") + F.col("local_start")
+    return blocks, pieces
+
+
+def read_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, doc_seq, doc_id, start, n_ids, ids): one row per document and block, start counted over all shards,
+    ids as little-endian unsigned 32-bit bytes."""
+    blocks, pieces = _decoded(spark, path)
     based = pieces.join(_shard_starts(blocks), "shard")
-    return based.select("shard", "doc_seq", "doc_id", start.alias("start"), "n_ids", "ids")
+    return based.select("shard", "doc_seq", "doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_ids", "ids")
 
 
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -236,7 +242,8 @@ def crc32_joined(parts: list[tuple[int, int]]) -> int:
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) per document of a token folder. Only numbers are shuffled: the crc32 of
     a document that spans blocks is combined from those of its pieces."""
-    pieces = read_pieces(spark, path).select("shard", "doc_seq", "doc_id", "start", "n_ids", F.crc32("ids").alias("crc"))
+    blocks, pieces = _decoded(spark, path)
+    pieces = pieces.select("shard", "doc_seq", "doc_id", F.col("local_start").alias("start"), "n_ids", F.crc32("ids").alias("crc"))
     grouped = pieces.groupBy("shard", "doc_seq", "doc_id").agg(
         F.min("start").alias("start"), F.sum("n_ids").alias("n_tokens"), F.count("*").alias("k"), F.first("crc").alias("crc"),
         F.sort_array(F.collect_list(F.struct("start", "crc", "n_ids"))).alias("parts"),
@@ -253,5 +260,6 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
             )
 
     parts = F.when(F.col("k") > 1, F.col("parts"))
+    grouped = grouped.join(_shard_starts(blocks), "shard").withColumn("start", F.col("base") + F.col("start"))
     out = grouped.select("doc_id", "start", "n_tokens", "k", "crc", parts.alias("parts"))
     return out.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -31,7 +31,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class ReplayEncoder:
     """Encodes and decodes units; `memo_units` bounds what a worker remembers, `pairs` the table of looked-up pairs."""
 
-    def __init__(self, path: str, pattern: str, memo_units: int = 300_000, pairs: int = 2_000_000):
+    def __init__(self, path: str, pattern: str, memo_units: int = 400_000, pairs: int = 2_000_000):
         self.ranks = load_ranks(path)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.single = [self.ranks[bytes([b])] for b in range(256)]

@@ -32,9 +32,9 @@ class LanguageSettings:
     """`per_language` bounds the training documents of each language (those with the smallest hashed doc_id);
     `languages` bounds the number of languages, most frequent first; `bits`: log2 of the hashed features."""
 
-    per_language: int = 250
+    per_language: int = 200
     languages: int = 64
-    bits: int = 15
+    bits: int = 14
     penalty: float = 100.0
     epochs: int = 40
     piece: int = 500_000
@@ -82,14 +82,13 @@ def _features(text: str, bits: int, piece: int) -> Iterator[tuple[np.ndarray, in
         tail = codes[-2:]
 
 
-def _separator(x: np.ndarray, sign: np.ndarray, s: LanguageSettings) -> tuple[np.ndarray, float]:
-    """Linear support vector machine by dual coordinate descent; the bias is one more constant feature."""
-    gram = x @ x.T + 1.0
-    alpha, f = np.zeros(len(x)), np.zeros(len(x))
+def _separator(gram: np.ndarray, sign: np.ndarray, s: LanguageSettings) -> np.ndarray:
+    """Dual coefficients, with their signs, of a linear support vector machine by coordinate descent."""
+    alpha, f = np.zeros(len(gram)), np.zeros(len(gram))
     order = np.random.Generator(np.random.PCG64(7))
     for _ in range(s.epochs):
         moved = 0.0
-        for i in order.permutation(len(x)):
+        for i in order.permutation(len(gram)):
             new = min(max(alpha[i] + (1 - sign[i] * f[i]) / gram[i, i], 0.0), s.penalty)
             if new != alpha[i]:
                 f += (new - alpha[i]) * sign[i] * gram[i]
@@ -97,7 +96,7 @@ def _separator(x: np.ndarray, sign: np.ndarray, s: LanguageSettings) -> tuple[np
                 alpha[i] = new
         if moved < 1e-3:
             break
-    return x.T @ (alpha * sign), float((alpha * sign).sum())
+    return alpha * sign
 
 
 def fit(examples: list[tuple[str, str]], settings: LanguageSettings = LanguageSettings(), families: Mapping[str, str] = FAMILIES) -> LanguageModel:
@@ -118,9 +117,13 @@ def fit(examples: list[tuple[str, str]], settings: LanguageSettings = LanguageSe
     duels = [(f"family {a}", f"family {b}", family == a, family == b) for a, b in combinations(tree, 2)]
     duels += [(a, b, langs == a, langs == b) for members in tree.values() for a, b in combinations(members, 2)]
     x = np.array(rows, np.float32).reshape(-1, 1 << s.bits)
-    made = [_separator(x[a | b], np.where(a[a | b], 1.0, -1.0), s) for _, _, a, b in duels]
-    weights = np.array([w for w, _ in made], np.float32).reshape(-1, 1 << s.bits).T
-    return LanguageModel(tree, tuple((a, b) for a, b, _, _ in duels), np.ascontiguousarray(weights), np.array([b for _, b in made]))
+    gram = (x @ x.T).astype(np.float64) + 1.0  # the bias is one more constant feature
+    coefficients = np.zeros((len(rows), len(duels)))
+    for j, (_, _, a, b) in enumerate(duels):
+        who = np.flatnonzero(a | b)
+        coefficients[who, j] = _separator(gram[np.ix_(who, who)], np.where(a[who], 1.0, -1.0), s)
+    weights = x.T @ coefficients.astype(np.float32)
+    return LanguageModel(tree, tuple((a, b) for a, b, _, _ in duels), np.ascontiguousarray(weights), coefficients.sum(axis=0))
 
 
 def _winner(names: tuple[str, ...], values: dict[tuple[str, str], float]) -> tuple[str, float]:
