@@ -30,7 +30,7 @@ _LAYOUT = (
 )
 
 
-def pack_block(ids: np.ndarray, kind: str = "byte", level: int = 3) -> bytes:
+def pack_block(ids: np.ndarray, kind: str = "byte", level: int = 1) -> bytes:
     """One block: header, compressed length of each plane, planes. Only planes up to the highest bit set are kept."""
     ids = np.ascontiguousarray(ids, "<u4")
     top = int(ids.max()).bit_length() if len(ids) else 0
@@ -72,7 +72,7 @@ class LibraryEncoder:
     the split of its byte-level pre-tokenizer.
     """
 
-    def __init__(self, path: str, pattern: str, memo_units: int = 700_000):
+    def __init__(self, path: str, pattern: str, memo_units: int = 500_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -87,7 +87,10 @@ class LibraryEncoder:
         self.shown = dict(zip(shown + hidden, [*map(chr, shown), *(chr(256 + i) for i in range(len(hidden)))], strict=True))
 
     def _piece(self, piece: str) -> bytes:
-        tokens = self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.shown))
+        if piece.isascii() and piece[1:].isalpha():  # only the space in front is shown otherwise
+            tokens = self.model.tokenize("\u0120" + piece[1:] if piece[0] == " " else piece.translate(self.shown))
+        else:
+            tokens = self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.shown))
         return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def _encode(self, units: list[str]) -> Iterator[bytes]:
