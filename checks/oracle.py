@@ -46,6 +46,20 @@ def exact_sum(x: str, scale: int = 4) -> str:
     return f"CAST(SUM({exact(x, scale)}) AS DOUBLE)"
 
 
+def converted(x: str) -> str:
+    """Ten decimals of a double; by its text, as DuckDB scales a double before it rounds."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(24, 10))"
+
+
+def as_double(x: str) -> str:
+    """Nearest double of a decimal with many digits, which a plain cast may miss by one unit."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
+
+
+def converted_sum(x: str) -> str:
+    return as_double(f"SUM({converted(x)})")
+
+
 def whole(x: str) -> str:
     return f"CAST({x} AS BIGINT)"
 
@@ -182,12 +196,12 @@ SELECT * FROM (
 """
     rows = f"""
 SELECT service_date AS full_date, {", ".join(grain)}, net_lc AS value_lc, net_lc AS convertible,
-  CAST(NULL AS DECIMAL(18, 4)) AS usd_given, quantity FROM ({kept})
+  CAST(NULL AS DECIMAL(24, 10)) AS usd_given, quantity FROM ({kept})
 """
     if not main:
         rows += f"""
 UNION ALL
-SELECT full_date, {", ".join(grain)}, value_lc, NULL AS convertible, {exact("value_usd_bdg")} AS usd_given,
+SELECT full_date, {", ".join(grain)}, value_lc, NULL AS convertible, {converted("value_usd_bdg")} AS usd_given,
   {exact("quantity_charged")} AS quantity FROM {{cube_other_country}}
 """
     sums = ", ".join(f"SUM({m}) AS {m}" for m in ("value_lc", "convertible", "usd_given", "quantity"))
@@ -211,7 +225,7 @@ LEFT JOIN {{months_{variant}}} m ON {pairs}
     base = f"""
 SELECT b.* EXCLUDE (value_lc, convertible, usd_given, quantity),
   COALESCE(CAST(value_lc AS DOUBLE), 0) AS value_lc,
-  COALESCE({ratio("convertible", "x.Value")}, 0) + COALESCE(CAST(usd_given AS DOUBLE), 0) AS value_usd,
+  COALESCE({ratio("convertible", "x.Value")}, 0) + COALESCE({as_double("usd_given")}, 0) AS value_usd,
   COALESCE(CAST(quantity AS DOUBLE), 0) AS members,
   date_diff('month', holding_cohort, full_date) AS invoice_number
 FROM (SELECT full_date, {", ".join(base_grain)}, {cohort} {sums} FROM {{filled_{variant}}}
@@ -464,7 +478,7 @@ TYPE = "CASE WHEN sub_type IN ('demand', 'conversion') THEN 'initiatives' ELSE '
 
 BLOCKS["v3_groups"] = f"""
 SELECT year, month, revenue_stream, management_department, service_country, management_account_name, holding_segment,
-  business_partner_name, source, {exact_sum("value_usd_bdg")} AS value
+  business_partner_name, source, {converted_sum("value_usd_bdg")} AS value
 FROM {{expense_cube}}
 WHERE department_classification = 'S&M' AND mgmt_account_subclasification = 'SG&A'
   AND revenue_stream NOT IN {quoted(X.V3_EXCLUDED_STREAMS)} AND holding_segment <> 'Affinity'
@@ -499,7 +513,7 @@ BLOCKS["old_groups"] = f"""
 SELECT *, CASE WHEN revenue_stream IS NULL THEN NULL ELSE {CATEGORY} END AS category FROM (
   SELECT year, month, revenue_stream, business_unit, management_department, service_country,
     mgmt_account_classification, management_account_name, holding_segment, business_partner_name, source,
-    {exact_sum("value_usd_bdg")} AS value
+    {converted_sum("value_usd_bdg")} AS value
   FROM {{expense_cube}}
   WHERE department_classification = 'S&M' AND mgmt_account_subclasification = 'SG&A'
     AND revenue_stream NOT IN ('Vouchers', 'Rewards') AND business_unit <> 'Financial Services'
@@ -542,7 +556,7 @@ FROM ({source}) g LEFT JOIN {{head_office}} w ON g.o_service_country = w.o_count
 
 
 BLOCKS["management_rows"] = _split(f"""
-SELECT * EXCLUDE (value_usd_bdg), {exact_sum("value_usd_bdg")} AS original_value FROM {{management_lines}}
+SELECT * EXCLUDE (value_usd_bdg), {converted_sum("value_usd_bdg")} AS original_value FROM {{management_lines}}
 WHERE (management_account_name IN ('Professional Services', 'Digital Tools')
        AND business_partner_name IN {quoted(_E.management_vendors)})
   OR management_account_name NOT IN ('Professional Services', 'Digital Tools')
@@ -556,13 +570,13 @@ _FINANCIAL = f"""{_SCOPE} AND accounting_account_name <> 'Vacaciones al Personal
 BLOCKS["financial_rows"] = _split(f"""
 SELECT * EXCLUDE (total), CASE WHEN business_partner_name = '{_E.scaled_vendor}' THEN total * CAST(0.7 AS DOUBLE)
   ELSE total END AS original_value
-FROM (SELECT {_VENDOR}, {exact_sum("value_usd_bdg")} AS total
+FROM (SELECT {_VENDOR}, {converted_sum("value_usd_bdg")} AS total
   FROM {{expense_cube}}
   WHERE {_FINANCIAL} AND management_account_name NOT IN {quoted(X.FINANCIAL_EXCLUDED_ACCOUNTS)}
     AND business_partner_name NOT IN {quoted(_E.service_vendors)}
   GROUP BY ALL)
 UNION ALL
-SELECT {_VENDOR}, {exact_sum("value_usd_bdg")} AS original_value
+SELECT {_VENDOR}, {converted_sum("value_usd_bdg")} AS original_value
 FROM {{expense_cube}}
 WHERE {_FINANCIAL} AND management_account_name = 'Payroll' AND management_department <> 'RevOps'
   AND full_date < {date(CUTOVER)}
@@ -707,7 +721,7 @@ LEFT JOIN {companies_bo} b ON b.document_id = o.companyId
 
 _STREAM = pick("revenue_stream", R.COST_STREAMS, "revenue_stream")
 _SEGMENT = "CASE holding_segment WHEN 'SMB' THEN 'SME' ELSE holding_segment END"
-_AMOUNTS = f"{exact_sum('value_lc')} AS amount_local, {exact_sum('value_usd_bdg')} AS amount_usd"
+_AMOUNTS = f"{exact_sum('value_lc')} AS amount_local, {converted_sum('value_usd_bdg')} AS amount_usd"
 BLOCKS["costs"] = f"""
 SELECT make_date(year, month, 1) AS period, service_country AS country, {_SEGMENT} AS segment,
   {_STREAM} AS revenue_stream, 'COGS' AS pnl_line, management_department AS department, {_AMOUNTS}
@@ -734,7 +748,7 @@ _LINE_SUMS = []
 for _label, _local, _usd in P.BUILDUP_LINES:
     _LINE_SUMS.append(f"{exact_sum(_local, 6)} AS {_local}")
     if _usd:
-        _LINE_SUMS.append(f"{exact_sum(_usd)} AS {_usd}")
+        _LINE_SUMS.append(f"{converted_sum(_usd)} AS {_usd}")
 BLOCKS["line_sums"] = f"""
 SELECT full_date AS period, service_country AS country, client_segment AS segment,
   CASE WHEN revenue_stream <> 'EB' THEN revenue_stream
@@ -749,7 +763,7 @@ BLOCKS["lines"] = "\nUNION ALL\n".join(
 )
 BLOCKS["other_revenue"] = f"""
 SELECT make_date(year, month, 1) AS period, service_country AS country, revenue_stream,
-  {exact_sum("value_lc", 6)} AS amount_local, {exact_sum("value_usd_bdg")} AS amount_usd, 'Revenue_EoP' AS pnl_line
+  {exact_sum("value_lc", 6)} AS amount_local, {converted_sum("value_usd_bdg")} AS amount_usd, 'Revenue_EoP' AS pnl_line
 FROM {{revenue_cube}}
 WHERE revenue_stream IN ('FS', 'Otro negocio') AND year >= {LATER_MIN_YEAR}
 GROUP BY 1, 2, 3
@@ -783,7 +797,7 @@ SQL: dict[str, str] = {
     "reconciled_monthly_revenue": iso(f"""
 SELECT full_date, {", ".join("m." + c for c in [*GRAIN, "product"])}, CAST(value_lc AS DOUBLE) AS value_lc,
   CASE WHEN {ratio("convertible", "x.Value")} IS NOT NULL OR usd_given IS NOT NULL THEN
-    COALESCE({ratio("convertible", "x.Value")}, 0) + COALESCE(CAST(usd_given AS DOUBLE), 0) END AS value_usd_bdg,
+    COALESCE({ratio("convertible", "x.Value")}, 0) + COALESCE({as_double("usd_given")}, 0) END AS value_usd_bdg,
   CAST(quantity AS DOUBLE) AS quantity_charged
 FROM {{months_with_product}} m
 LEFT JOIN {{fx_budget}} x ON x.Year = CAST(year(m.full_date) AS VARCHAR) AND x.Currency = m.local_currency
@@ -900,7 +914,7 @@ LEFT JOIN {{companies}} c ON d.company_id = c.company_id""", "activation_date"),
     + " ".join(f"WHEN upper(accounting_account_name) LIKE '{p}' THEN '{v}'" for p, v in R.SEGMENT_PATTERNS)
     + " ELSE 'Sin holding' END AS segment FROM {expenses_base_a}",
     "expense_control": f"""
-SELECT * EXCLUDE (value_usd_bdg), {exact_sum("value_usd_bdg")} AS value_usd FROM {{control}}
+SELECT * EXCLUDE (value_usd_bdg), {converted_sum("value_usd_bdg")} AS value_usd FROM {{control}}
 WHERE control_group <> 'check' GROUP BY ALL""",
     "allocate_weights": iso(f"""
 SELECT *, {TYPE} FROM (

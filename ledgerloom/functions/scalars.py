@@ -16,6 +16,8 @@ ColumnLike = Column | str
 MONEY = T.DecimalType(18, 4)
 # Net amounts carry six decimals: four of the amount, two of the haircut.
 NET_MONEY = T.DecimalType(28, 6)
+# Quotients of a currency conversion keep ten decimals until they are summed.
+CONVERTED = T.DecimalType(24, 10)
 
 
 def as_column(value: ColumnLike) -> Column:
@@ -51,6 +53,11 @@ def net_money(c: ColumnLike) -> Column:
     return as_column(c).cast(NET_MONEY)
 
 
+def converted(c: ColumnLike) -> Column:
+    """Converted amount with ten decimals, so that many tiny ones add up."""
+    return as_column(c).cast(CONVERTED)
+
+
 def safe_divide(numerator: ColumnLike, denominator: ColumnLike) -> Column:
     """Floating ratio, NULL when the denominator is zero or NULL."""
     return F.try_divide(as_column(numerator).cast("double"), as_column(denominator).cast("double"))

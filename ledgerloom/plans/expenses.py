@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules as R
 from ledgerloom.functions.scalars import (
+    converted,
     first_match,
     first_of,
     in_list,
     is_blank,
     like_first_match,
-    money,
     month_of,
     not_in_list,
     year_of,
@@ -205,7 +205,7 @@ def expense_control(t: Tables, rules: R.Rules, min_year: int = 2025) -> DataFram
         department.alias("management_department"), group.alias("control_group"),
         first_match([all_hands], account).alias("management_account_name"),
         subgroup.alias("control_subgroup"), "business_partner_name", "holding_segment", "transaction_detail",
-        "source", "revenue_stream", money("value_usd_bdg").alias("value_usd"),
+        "source", "revenue_stream", converted("value_usd_bdg").alias("value_usd"),
     )
     keys = [c for c in shaped.columns if c != "value_usd"]
     return shaped.groupBy(*keys).agg(F.sum("value_usd").cast("double").alias("value_usd"))
@@ -215,7 +215,7 @@ def expense_control(t: Tables, rules: R.Rules, min_year: int = 2025) -> DataFram
 
 
 def _summed(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum(money("value_usd_bdg")).cast("double").alias("value_expense"))
+    return df.groupBy(*keys).agg(F.sum(converted("value_usd_bdg")).cast("double").alias("value_expense"))
 
 
 def acquisition_cost(t: Tables, min_year: int = 2024, min_month: int = 11) -> DataFrame:

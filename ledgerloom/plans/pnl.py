@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import rules as R
-from ledgerloom.functions.scalars import first_of, map_values, money, net_money, not_in_list
+from ledgerloom.functions.scalars import converted, first_of, map_values, money, net_money, not_in_list
 from ledgerloom.operators.series import stack_metrics
 from ledgerloom.plans.acquisition import booked_mrr
 from ledgerloom.plans.engagement import engagement_rates
@@ -53,7 +53,7 @@ def buildup_lines(buildup: DataFrame, min_year: int = 2024) -> DataFrame:
         else:
             sums.append(F.sum(net_money(local)).alias(local))
         if usd:
-            sums.append(F.sum(money(usd)).alias(usd))
+            sums.append(F.sum(converted(usd)).alias(usd))
     grouped = buildup.filter(F.col("year") >= min_year).groupBy(
         F.col("full_date").cast("date").alias("period"), F.col("service_country").alias("country"),
         F.col("client_segment").alias("segment"), label.alias("revenue_stream"),
@@ -93,7 +93,7 @@ def cost_lines(cube: DataFrame, min_year: int = 2024, rewards_min_year: int = 20
         F.when(~is_rewards, department).alias("department"),
     ).agg(
         F.sum(money("value_lc")).cast("double").alias("amount_local"),
-        F.sum(money("value_usd_bdg")).cast("double").alias("amount_usd"),
+        F.sum(converted("value_usd_bdg")).cast("double").alias("amount_usd"),
     )
 
 
@@ -104,7 +104,7 @@ def other_revenue_lines(cube: DataFrame, min_year: int = 2025) -> DataFrame:
         first_of("year", "month").alias("period"), F.col("service_country").alias("country"), "revenue_stream"
     ).agg(
         F.sum(net_money("value_lc")).cast("double").alias("amount_local"),
-        F.sum(money("value_usd_bdg")).cast("double").alias("amount_usd"),
+        F.sum(converted("value_usd_bdg")).cast("double").alias("amount_usd"),
     ).withColumn("pnl_line", F.lit("Revenue_EoP"))
 
 

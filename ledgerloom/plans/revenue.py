@@ -22,6 +22,7 @@ from ledgerloom.functions.business import (
 )
 from ledgerloom.functions.scalars import (
     any_of,
+    converted,
     in_list,
     map_values,
     money,
@@ -186,7 +187,7 @@ def reconciled_months(t: Tables, rules: R.Rules, v: Buildup) -> DataFrame:
     ]
     rows = joined.select(
         "service_date", *grain, "doc_class", "value_lc", "quantity",
-        F.lit(None).cast(R_MONEY_SUM).alias("usd_given"),
+        F.lit(None).cast(R_USD_SUM).alias("usd_given"),
     )
     if v.other_country:
         given = t["cube_other_country"].filter(
@@ -196,7 +197,7 @@ def reconciled_months(t: Tables, rules: R.Rules, v: Buildup) -> DataFrame:
             F.col("full_date").alias("service_date"), *grain, F.lit(None).cast("int").alias("doc_class"),
             money("value_lc").cast(R_MONEY_SUM).alias("value_lc"),
             money("quantity_charged").cast(R_MONEY_SUM).alias("quantity"),
-            money("value_usd_bdg").cast(R_MONEY_SUM).alias("usd_given"),
+            converted("value_usd_bdg").cast(R_USD_SUM).alias("usd_given"),
         ))
     totals = rows.groupBy("service_date", *grain, "doc_class").agg(
         *[F.sum(c).alias(c) for c in ("value_lc", "quantity", "usd_given")]
@@ -223,6 +224,7 @@ def reconciled_months(t: Tables, rules: R.Rules, v: Buildup) -> DataFrame:
 
 
 R_MONEY_SUM = "decimal(28,4)"
+R_USD_SUM = "decimal(34,10)"
 MONTH_MEASURES = ("value_lc", "convertible", "usd_given", "quantity")
 
 

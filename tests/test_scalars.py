@@ -24,6 +24,11 @@ def test_safe_divide(spark):
     assert one(spark, S.safe_divide("a", "b"), a=Decimal("1.5000"), b=3) == 0.5
 
 
+def test_tiny_converted_amounts_add_up(spark):
+    tiny = spark.range(10_000).select(F.lit(0.00003).alias("usd"))
+    assert tiny.agg(F.sum(S.converted("usd")).cast("double")).first()[0] == 0.3
+
+
 @pytest.mark.parametrize("value, expected", [(0.5, 1), (1.5, 2), (2.5, 3), (-2.5, -3), (2.4, 2)])
 def test_float_to_integer_rounds_half_away_from_zero(spark, value, expected):
     assert one(spark, S.to_long("x"), x=value) == expected
