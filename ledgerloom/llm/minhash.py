@@ -78,12 +78,14 @@ def shingle_hashes(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
 
 
 def signature(hashes: np.ndarray, positions: int) -> np.ndarray:
+    """Minimum per permutation, mixed and cut to 16 bits: a chance match in 65,536 makes sets look more alike, never
+    less."""
     factor, offset = _permutations(positions)
     low = np.full(positions, np.iinfo(np.uint32).max, np.uint32)
     for at in range(0, len(hashes), 1024):
         moved = hashes[at : at + 1024, None] * factor + offset
         low = np.minimum(low, (moved >> np.uint64(32)).min(axis=0).astype(np.uint32))
-    return low
+    return (low * np.uint32(0x9E3779B1) >> np.uint32(16)).astype("<u2")
 
 
 @lru_cache(maxsize=8)
@@ -146,7 +148,7 @@ def _surviving(pairs: DataFrame, sigs: DataFrame, s: MinHashSettings) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = [
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, s.positions) for i in (2, 3)
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, s.positions) for i in (2, 3)
             ]
             good = pa.array(plausible(*sides, limits))
             yield pa.RecordBatch.from_arrays([batch.column(i).take(good) for i in (0, 1)], names=["a", "b"])
@@ -204,7 +206,7 @@ def _linking_pairs(rest: DataFrame, s: MinHashSettings) -> DataFrame:
 
     def compare(table: pa.Table) -> pa.Table:
         reps, comps, sides = (table.column(c).to_numpy().copy() for c in ("rep", "comp", "side"))
-        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, s.positions)
+        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(-1, s.positions)
         codes = [np.frombuffer(c, "<u4") for c in table.column("codes").to_pylist()]
         sizes = np.array([len(c) for c in codes])
         band = table.column("band")[0].as_py()
@@ -285,7 +287,7 @@ def near_duplicates(docs: DataFrame, settings: MinHashSettings = MinHashSettings
     sigs = classes.where("sig is not null").select("rep", "sig")
 
     band = F.explode(F.sequence(F.lit(0), F.lit(s.bands - 1)))
-    width = 4 * s.rows
+    width = 2 * s.rows
     banded = sigs.withColumn("band", band).select(
         F.xxhash64("band", F.expr(f"substring(sig, band * {width} + 1, {width})")).alias("bkey"), "band", "rep"
     )
