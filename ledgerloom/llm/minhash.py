@@ -8,7 +8,8 @@ Every survivor is confirmed on the full shingle sets.
 
 No bucket is ever expanded into all pairs of one connected group. Round one compares every member of a bucket with
 one hub, a different one in each band, which already connects large groups of near copies. Round two compares, in
-blocks of bounded size, only members whose components still differ. No bucket is capped.
+blocks of bounded size, only members whose components still differ: first their signatures, then the sets of those
+that have a plausible partner. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -176,23 +177,19 @@ def _compact(texts: DataFrame, s: MinHashSettings) -> DataFrame:
     return texts.mapInArrow(run, "rep long, sig binary, codes binary")
 
 
-def _linking_pairs(rest: DataFrame, s: MinHashSettings) -> DataFrame:
-    """Pairs that link members of one bucket across components.
+def _block_groups(rest: DataFrame, s: MinHashSettings) -> DataFrame:
+    """Rows of `rest` (bkey, band, rep, comp, main, n_main, n_out) with a task group (bkey, i, j) and a side of it.
 
-    `rest`: bkey, band, rep, comp, sig, codes, main (in the bucket's largest component), n_main, n_out. Members of
-    the largest component need no comparison among themselves, so they are dealt into blocks once; only the others
-    are copied to every block. A group holds about two blocks at most, however large the bucket. Inside a group,
-    pairs that survive the signatures are held against the sets, and each pair that joins two components is given
-    once: a link between components that are already joined would change nothing. So the pairs given number less
-    than the members.
+    Members of a bucket's largest component (`main`) need no comparison among themselves, so they are dealt into
+    blocks once; only the others are copied to every block. A group holds about two blocks at most, however large
+    the bucket.
     """
-    limits = fewest_matches(s.batch, s.positions, s.percent, s.miss_probability)
     parts = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(s.block)).cast("int"))
     deal = F.xxhash64("rep", "bkey")
     dealt = rest.withColumn("blocks_main", parts("n_main")).withColumn("blocks_out", parts("n_out"))
     own = F.when(F.col("main"), F.pmod(deal, F.col("blocks_main"))).otherwise(F.pmod(deal, F.col("blocks_out")))
     dealt = dealt.withColumn("own", own.cast("int"))
-    fields = ["bkey", "band", "rep", "comp", "sig", "codes"]
+    fields = ["bkey", "band", "rep", "comp"]
     main = dealt.where("main").select(*fields, F.lit(-1).alias("i"), F.col("own").alias("j"), F.lit(0).alias("side"))
     out = dealt.where("not main")
     # Others against the largest component: a copy per block of it; i = -1 marks that kind of group.
@@ -202,25 +199,58 @@ def _linking_pairs(rest: DataFrame, s: MinHashSettings) -> DataFrame:
         *fields, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
-    groups = main.unionByName(to_main).unionByName(among)
+    return main.unionByName(to_main).unionByName(among)
+
+
+def _partners(sigs: np.ndarray, comps: np.ndarray, sides: np.ndarray, band: int, s: MinHashSettings) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a group with the rows of another component that no batch of the signatures prunes. A pair is
+    given in the first band that it shares, not once per band. `comps` may change while this runs."""
+    limits = fewest_matches(s.batch, s.positions, s.percent, s.miss_probability)
+    # The outer loop goes over the side without the largest component, which is the smaller one.
+    inner, outer = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
+    for x in outer:
+        against = inner[comps[inner] != comps[x]]
+        if sides[x] == 2:
+            against = against[against > x]
+        against = against[plausible(sigs[x], sigs[against], limits)]
+        same = (sigs[against] == sigs[x]).reshape(len(against), s.bands, s.rows).all(axis=2)
+        yield x, against[same.argmax(axis=1) == band]
+
+
+def _signatures(table: pa.Table, s: MinHashSettings) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(-1, s.positions)
+
+
+def _with_partners(groups: DataFrame, s: MinHashSettings) -> DataFrame:
+    """Rows of `groups` (with sig) that have a plausible partner in their group, without sig."""
+
+    def mark(table: pa.Table) -> pa.Table:
+        comps, sides = (table.column(c).to_numpy() for c in ("comp", "side"))
+        wanted = np.zeros(table.num_rows, bool)
+        for x, against in _partners(_signatures(table, s), comps, sides, table.column("band")[0].as_py(), s):
+            wanted[x] |= len(against) > 0
+            wanted[against] = True
+        return table.drop_columns(["sig"]).filter(pa.array(wanted))
+
+    schema = "bkey long, band int, rep long, comp long, i int, j int, side int"
+    columns = [f.split()[0] for f in schema.split(", ")]
+    return groups.select(*columns, "sig").groupBy("bkey", "i", "j").applyInArrow(mark, schema)
+
+
+def _linking_pairs(groups: DataFrame, s: MinHashSettings) -> DataFrame:
+    """Pairs that link rows of one group (with sig and codes) across components.
+
+    Pairs that survive the signatures are held against the sets, and each pair that joins two components is given
+    once: a link between components that are already joined would change nothing. So the pairs given number less
+    than the members.
+    """
 
     def compare(table: pa.Table) -> pa.Table:
         reps, comps, sides = (table.column(c).to_numpy().copy() for c in ("rep", "comp", "side"))
-        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(-1, s.positions)
         codes = [np.frombuffer(c, "<u4") for c in table.column("codes").to_pylist()]
         sizes = np.array([len(c) for c in codes])
-        band = table.column("band")[0].as_py()
-        # The outer loop goes over the side without the largest component, which is the smaller one.
-        inner, outer = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
         left, right = [], []
-        for x in outer:
-            against = inner[comps[inner] != comps[x]]
-            if sides[x] == 2:
-                against = against[against > x]
-            against = against[plausible(sigs[x], sigs[against], limits)]
-            # Each pair is judged in the first band that it shares, not once per band.
-            same = (sigs[against] == sigs[x]).reshape(len(against), s.bands, s.rows).all(axis=2)
-            against = against[same.argmax(axis=1) == band]
+        for x, against in _partners(_signatures(table, s), comps, sides, table.column("band")[0].as_py(), s):
             for at in range(0, len(against), 256):
                 some = against[at : at + 256]
                 some = some[comps[some] != comps[x]]
@@ -312,7 +342,8 @@ def near_duplicates(docs: DataFrame, settings: MinHashSettings = MinHashSettings
     shape = shape.where("k > 1").select(
         "bkey", F.col("top.comp").alias("main_comp"), F.col("top.n").alias("n_main"), (F.col("n") - F.col("top.n")).alias("n_out")
     )
-    rest = staged(left.join(shape, "bkey").withColumn("main", F.col("comp") == F.col("main_comp")), "rest")
+    rest = left.join(shape, "bkey").withColumn("main", F.col("comp") == F.col("main_comp"))
+    rest = staged(_with_partners(_block_groups(rest, s).join(sigs, "rep"), s), "rest")
     texts = _texts_of(rest.select(F.col("rep").alias("id")).distinct(), docs, s)
     second = staged(_linking_pairs(rest.join(_compact(texts, s), "rep"), s), "pairs")
     links = links.unionByName(_confirmed(second, docs, s))
