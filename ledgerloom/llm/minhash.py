@@ -268,18 +268,17 @@ def _linking_pairs(groups: DataFrame, s: MinHashSettings) -> DataFrame:
     return groups.groupBy("bkey", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def _texts_of(ids: DataFrame, docs: DataFrame, s: MinHashSettings) -> DataFrame:
-    """(id, text) of the given ids. A Bloom filter of bounded size keeps other texts out of the exact semi-join; the
-    more ids there are for its size, the more texts only the join removes."""
+def _likely_texts(ids: DataFrame, docs: DataFrame, s: MinHashSettings) -> DataFrame:
+    """(id, text) of the given ids and of a few others, which an exact join has to remove: a Bloom filter of bounded
+    size keeps most texts out of that join. The more ids there are for its size, the more texts only the join removes."""
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    near = possible(texts, F.col("id"), bloom_blocks(ids, F.col("id"), s.filter_blocks), s.filter_blocks)
-    return near.join(ids, "id", "left_semi")
+    return possible(texts, F.col("id"), bloom_blocks(ids, F.col("id"), s.filter_blocks), s.filter_blocks)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, s: MinHashSettings) -> DataFrame:
     """Pairs whose full shingle sets reach the threshold."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = staged(_texts_of(wanted, docs, s), "texts")
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    texts = _likely_texts(wanted, docs, s)
     joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     joined = joined.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -321,9 +320,10 @@ def near_duplicates(docs: DataFrame, settings: MinHashSettings = MinHashSettings
     banded = sigs.withColumn("band", band).select(
         F.xxhash64("band", F.expr(f"substring(sig, band * {width} + 1, {width})")).alias("bkey"), "band", "rep"
     )
-    place = F.struct(F.xxhash64("rep", "bkey").alias("h"), "rep")
-    hubs = banded.groupBy("bkey").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    members = banded.join(hubs.select("bkey", F.col("first.rep").alias("hub"), "n"), "bkey")
+    # Exclusive or with the bucket's key orders the members differently in each bucket, and gives the hub back.
+    mixed = F.min(F.col("rep").bitwiseXOR(F.col("bkey")))
+    hubs = banded.groupBy("bkey").agg(mixed.bitwiseXOR(F.col("bkey")).alias("hub"), F.count("*").alias("n")).where("n > 1")
+    members = banded.join(hubs, "bkey")
     members = staged(members, "members")
 
     star = members.where("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
@@ -344,7 +344,8 @@ def near_duplicates(docs: DataFrame, settings: MinHashSettings = MinHashSettings
     )
     rest = left.join(shape, "bkey").withColumn("main", F.col("comp") == F.col("main_comp"))
     rest = staged(_with_partners(_block_groups(rest, s).join(sigs, "rep"), s), "rest")
-    texts = _texts_of(rest.select(F.col("rep").alias("id")).distinct(), docs, s)
+    wanted = rest.select(F.col("rep").alias("id")).distinct()
+    texts = _likely_texts(wanted, docs, s).join(wanted, "id", "left_semi")
     second = staged(_linking_pairs(rest.join(_compact(texts, s), "rep"), s), "pairs")
     links = links.unionByName(_confirmed(second, docs, s))
     comps = components(links)
