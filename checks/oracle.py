@@ -1086,6 +1086,7 @@ SELECT document_id, transactionId AS "transactionId", {digits("transactionId")}
     "corrected_country": f"""
 SELECT g.document_id, {home("o.countryId", "g.transactionId")} AS country
 FROM {{loads}} g LEFT JOIN {{orders_bo}} o ON o.label = split_part(g.transactionId, '.', 1)""",
+    "duplicate_keys": "SELECT tax_id_client, count(*) AS n_rows FROM {holdings} GROUP BY tax_id_client HAVING count(*) > 1",
     "json_members": "SELECT document_id, "
     + ", ".join(f"{scalar('giftCards_member', k)} AS \"{k}\""
                 for k in ("nationalId", "email", "id", "allowedGiftCardIds"))

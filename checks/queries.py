@@ -596,10 +596,15 @@ def corrected_country(t: ViewTables) -> DataFrame:
     return joined.select("document_id", B.corrected_country("order_country", "transactionId").alias("country"))
 
 
+@query
+def duplicate_keys(t: ViewTables) -> DataFrame:
+    return L.duplicate_keys(t["holdings"], ["tax_id_client"])
+
+
 @query
 def json_members(t: ViewTables) -> DataFrame:
     c = "giftCards_member"
-    return t["loads"].select(
+    return S.with_json(t["loads"], c).select(
         "document_id",
         *[S.json_value(c, f"$.{k}").alias(k) for k in ("nationalId", "email", "id", "allowedGiftCardIds")],
         S.json_value(c, "$.amount").try_cast("double").alias("amount"),

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,9 +179,16 @@ def clean_order_id(c: ColumnLike) -> Column:
     ).cast("long")
 
 
+def with_json(df: DataFrame, name: str) -> DataFrame:
+    """JSON text of a column parsed into a variant of the same name, malformed text into NULL. Generating it keeps
+    the optimizer from parsing again for each use."""
+    parsed = F.explode(F.array(F.try_parse_json(name))).alias("__json")
+    return df.select("*", parsed).drop(name).withColumnRenamed("__json", name)
+
+
 def json_value(c: ColumnLike, path: str) -> Column:
-    """Scalar at a JSON path as text. Objects, arrays, JSON null and malformed text give NULL."""
-    document = F.try_parse_json(as_column(c))
+    """Scalar at a path of a parsed document as text. Objects, arrays, JSON null and malformed text give NULL."""
+    document = as_column(c)
     node = F.try_variant_get(document, path, "variant")
     kind = F.schema_of_variant(node)
     nested = kind.startswith("ARRAY") | kind.startswith("OBJECT")

@@ -107,6 +107,11 @@ def group_value(
     return lookup(df, grouped, same(*keys, null_safe=True), list(values))
 
 
+def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Report of keys that several rows share, with their number. A look-up on such a key multiplies its rows."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
+
+
 def latest_by(df: DataFrame, key: str, order: str, versions: DataFrame | None = None) -> DataFrame:
     """Rows holding the greatest `order` value of their key; ties are all kept.
 

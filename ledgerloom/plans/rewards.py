@@ -21,6 +21,7 @@ from ledgerloom.functions.scalars import (
     json_value,
     local_datetime,
     text_to_long,
+    with_json,
     year_month,
 )
 from ledgerloom.operators.lookup import Key, lookup
@@ -62,12 +63,12 @@ def loaded(
     """Points loaded, home country after correction, without loads limited to certain gift cards."""
     home = rules.rewards.home_country
     member = "giftCards_member"
-    loads = t["loads"].filter(
+    dated = t["loads"].filter(
         within_spine("createdAt", spine_start, as_of)
         & _on_or_after("createdAt", since)
         & _order_like("transactionId", R.LOAD_COUNTRY_ID_REGEX)
-        & json_value(member, "$.allowedGiftCardIds").isNull()
-    ).select(
+    )
+    loads = with_json(dated, member).filter(json_value(member, "$.allowedGiftCardIds").isNull()).select(
         "createdAt", "transactionId", "companyId", json_value(member, "$.amount").alias("amount_text"),
         json_value(member, "$.nationalId").alias("user nationalId"), json_value(member, "$.email").alias("user_email"),
         json_value(member, "$.id").alias("bonus_id"),
@@ -95,7 +96,7 @@ def loaded(
 def invoiced_orders(t: Tables) -> DataFrame:
     """Orders paid from the balance of another order: both labels and the amount withdrawn."""
     member = "withdraworders_member"
-    moves = t["balance_tx"].select(
+    moves = with_json(t["balance_tx"], member).select(
         "depositorderid", json_value(member, "$.orderId").alias("withdrawn_order"),
         text_to_long(json_value(member, "$.amount")).alias("withdrawn_amount"),
     )
@@ -117,7 +118,7 @@ def orders(t: Tables, rules: R.Rules, since: dt.date = ORDER_START) -> DataFrame
         & (F.col("status") == "done")
     )
     linked = lookup(
-        done, invoiced_orders(t), [Key("label", "label_order_ingresada")],
+        with_json(done, "products_member"), invoiced_orders(t), [Key("label", "label_order_ingresada")],
         ["label_order_facturada", "withdrawn_amount"],
     ).withColumn("super_label", F.coalesce("label_order_facturada", "label")).withColumn(
         "super_id", clean_order_id("super_label")
@@ -171,7 +172,7 @@ def redeemed(
     """Points redeemed per contribution, with months in the home time zone."""
     home, zone = rules.rewards.home_country, rules.rewards.home_zone
     member = "contributions_member"
-    redemptions = t["user_giftcards"].filter(
+    kept = t["user_giftcards"].filter(
         F.col("voidedAt").isNull()
         & ~F.col("status").isin("voided", "reversed")
         & F.col("userGiftCardRedeemRequestId").isNotNull()
@@ -179,7 +180,8 @@ def redeemed(
         & within_spine("createdAt", since, as_of)
     ).withColumn("local_created", local_datetime("createdAt", zone)).filter(
         _on_or_after("local_created", since)
-    ).select(
+    )
+    redemptions = with_json(kept, member).select(
         "local_created", F.col("amount").alias("total_amount"), "giftCardId", "code", "userId",
         text_to_long(json_value(member, "$.totalTakenAmount")).alias("taken"),
         json_value(member, "$.bonusId").alias("bonus_id"),

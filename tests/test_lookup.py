@@ -8,6 +8,13 @@ from ledgerloom.operators.reconcile import reconcile, reconcile_totals
 from ledgerloom.sources.shapes import literal_table
 
 
+def test_duplicate_keys_are_reported(spark):
+    rates = spark.createDataFrame([("2024", "BRL", 5.0), ("2024", "BRL", 5.1), ("2024", "USD", 1.0), (None, "BRL", 1.0), (None, "BRL", 2.0)],
+                                  "Year string, Currency string, Value double")
+    got = L.duplicate_keys(rates, ["Year", "Currency"])
+    assert rows(got) == [(None, "BRL", 2), ("2024", "BRL", 2)]
+
+
 def test_lookup_normalised_keys_fan_out_and_nulls(spark, join_path):
     facts = spark.createDataFrame([(1, "7.1-k"), (2, "9"), (3, None), (4, "8")], "id int, client string")
     dim = spark.createDataFrame([("71K", "A"), ("8", "B"), ("8", "C"), (None, "N")], "tax string, name string")
