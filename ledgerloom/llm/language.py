@@ -14,9 +14,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.units import slices
+
 UNDETERMINED = "und"
 
 # Families of language codes; any other code is a family of its own.
@@ -184,13 +187,15 @@ def identify(docs: DataFrame, model: LanguageModel, settings: LanguageSettings =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            made = [predict(t, known, settings) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],
-                names=["row", "lang_pred", "score"],
-            )
-
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row, F.col("text").cast("string").alias("text"))
+            texts = pc.struct_field(batch.column(0), at).cast(pa.string())
+            for part in slices(pa.RecordBatch.from_arrays([batch.column(0), texts], names=["row", "text"]), 1):
+                made = [predict(t.as_py(), known, settings) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],
+                    names=["row", "lang_pred", "score"],
+                )
+
+    at = [docs.columns.index("text")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(run, schema)

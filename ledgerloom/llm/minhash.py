@@ -125,14 +125,14 @@ def shingle_features(docs: DataFrame, s: MinHashSettings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, keys, sigs = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hashes = shingle_hashes(words_of(text))
+            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+                hashes = shingle_hashes(words_of(text.as_py()))
                 counts.append(len(hashes))
                 if len(hashes):
                     keys.append(xxhash.xxh3_128_digest(hashes.tobytes()))
                     sigs.append(signature(hashes, s.positions).tobytes())
                 else:
-                    keys.append(xxhash.xxh3_128_digest(f"empty {doc_id}".encode()))
+                    keys.append(xxhash.xxh3_128_digest(f"empty {doc_id.as_py()}".encode()))
                     sigs.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
@@ -165,7 +165,7 @@ def _compact(texts: DataFrame, s: MinHashSettings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_hashes(words_of(t)) for t in batch.column(1).to_pylist()]
+            sets = [shingle_hashes(words_of(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array([signature(h, s.positions).tobytes() for h in sets], pa.binary()),
@@ -283,14 +283,14 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, s: MinHashSettings) -> DataFra
     joined = joined.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(maxsize=256)
+        @lru_cache(maxsize=64)
         def hashes(text: str | None) -> np.ndarray:
             return shingle_hashes(words_of(text))
 
         for batch in batches:
             good = []
-            for row, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                left, right = hashes(x), hashes(y)
+            for row, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                left, right = hashes(x.as_py()), hashes(y.as_py())
                 shared = len(np.intersect1d(left, right, assume_unique=True))
                 if shared and 100 * shared >= s.percent * (len(left) + len(right) - shared):
                     good.append(row)
