@@ -5,7 +5,8 @@ the order by Euclidean distance, for which the triangle inequality holds. Rows a
 and queries into blocks of bounded size; each pair of shard and block is one task group. In a group a vantage-point
 tree is built: every inner node splits its rows at the median distance from a vantage point. A leaf is skipped for a
 query when the lower bound that the triangle inequality gives from the leaf's ancestors, times `factor`, exceeds the
-distance of the k-th best so far. `factor` 1 is exact; larger ones prune more.
+distance of the k-th best so far. `factor` 1, the default, is exact; larger ones prune more and lose neighbours, how many
+depends on the vectors.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql.window import Window
 @dataclass(frozen=True)
 class SearchSettings:
     k: int = 20
-    factor: float = 3.0
+    factor: float = 1.0
     shard_rows: int = 8192
     block_queries: int = 4096
     leaf_rows: int = 128
@@ -73,6 +74,7 @@ def search_tree(x: np.ndarray, queries: np.ndarray, s: SearchSettings, largest:
         best[who] = np.take_along_axis(scores, top, axis=1)
         place[who] = np.take_along_axis(places, top, axis=1)
 
+    slack = 1e-6 * np.sqrt(largest)  # distances are rounded, the more so the shorter they are
     first = low.argmin(axis=1)
     for j in range(len(leaves)):
         who = np.flatnonzero(first == j)
@@ -81,7 +83,7 @@ def search_tree(x: np.ndarray, queries: np.ndarray, s: SearchSettings, largest:
     for j in np.argsort(low.mean(axis=0), kind="stable").tolist():
         worst = best.min(axis=1)
         reach = np.where(np.isfinite(worst), np.sqrt(np.maximum(own + largest - 2 * np.where(np.isfinite(worst), worst, 0.0), 0.0)), np.inf)
-        who = np.flatnonzero((first != j) & (low[:, j] * s.factor <= reach))
+        who = np.flatnonzero((first != j) & (low[:, j] * s.factor <= reach + slack))
         if len(who):
             visit(j, who)
     return place

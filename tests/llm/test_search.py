@@ -1,6 +1,7 @@
 """Vantage-point trees against brute force."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.vptree import SearchSettings, nearest, search_tree
@@ -34,6 +35,19 @@ def test_recall_of_the_default_factor():
     assert np.mean([len(set(a) & set(b)) / 20 for a, b in zip(true, got, strict=True)]) >= 0.9
 
 
+@pytest.mark.parametrize("shape", ["varying norms", "low rank", "few dimensions"])
+def test_default_settings_lose_no_neighbour(shape):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(4096, 4 if shape == "few dimensions" else 64))
+    if shape == "varying norms":
+        x *= r.lognormal(sigma=0.7, size=(4096, 1))
+    elif shape == "low rank":
+        x = r.normal(size=(4096, 6)) @ r.normal(size=(6, 64)) + 0.01 * x
+    true = np.argsort(-(x[:200] @ x.T), axis=1)[:, :20]
+    got = search_tree(x, x[:200], SearchSettings(), float((x * x).sum(axis=1).max()) * (1 + 1e-9), 20)
+    assert [set(g) for g in got.tolist()] == [set(t) for t in true.tolist()]
+
+
 def test_ties_repeats_and_unusable_vectors(frame):
     rows = [(0, [1.0, 0.0]), (3, [2.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (4, None), (5, []), (6, [0.0, 0.0]), (7, [1.0, None]),
             (8, [float("nan"), 1.0]), (9, [float("inf"), 1.0]), (None, [1.0, 1.0]), (10, [1.0, 2.0, 3.0]), (20, [0.0, 0.0])]
