@@ -100,7 +100,8 @@ def tile(item: list[bytes], doc: list[bytes], shortest: int) -> list[tuple[int,
 
 
 def _seeds(items: DataFrame, s: TilingSettings) -> DataFrame:
-    """(item_id, seed, n_words, size): distinct seeds per item; an item shorter than a seed is one seed itself."""
+    """(item_id, seed, n_words, size, places): distinct seeds per item, with the number of positions of each; an item
+    shorter than a seed is one seed itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,13 +109,14 @@ def _seeds(items: DataFrame, s: TilingSettings) -> DataFrame:
             for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = words_of(text)
                 size = min(s.seed, len(words))
-                out += [(item_id, h, len(words), size) for h in np.unique(window_hashes(word_codes(words), size)).tolist()]
-            columns = list(zip(*out, strict=True)) if out else [[]] * 4
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+                seeds, places = np.unique(window_hashes(word_codes(words), size), return_counts=True)
+                out += [(item_id, h, len(words), size, n) for h, n in zip(seeds.tolist(), places.tolist(), strict=True)]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["item_id", "seed", "n_words", "size"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["item_id", "seed", "n_words", "size", "places"])
 
-    return items.mapInArrow(run, "item_id long, seed long, n_words int, size int")
+    return items.mapInArrow(run, "item_id long, seed long, n_words int, size int, places long")
 
 
 def _bitmap(seeds: DataFrame, bits: int) -> tuple[np.ndarray, list[int]]:
@@ -168,9 +170,9 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, settings: TilingSettin
 
     hit = staged(docs.mapInArrow(run, "doc_id long, text string, seeds array<long>"), "hits")
     pairs = hit.select("doc_id", F.explode("seeds").alias("seed")).join(seeds, "seed")
-    # A document's tiles consist of shared seeds, each of which covers `size` words at most.
+    # The words that tiles cover lie at positions of shared seeds, each of which covers `size` words at most.
     enough = F.col("k") * F.col("size") >= F.lit(s.coverage) * F.col("n_words")
-    pairs = pairs.groupBy("doc_id", "item_id", "n_words", "size").agg(F.count("*").alias("k")).where(enough)
+    pairs = pairs.groupBy("doc_id", "item_id", "n_words", "size").agg(F.sum("places").alias("k")).where(enough)
     pairs = pairs.select(F.col("doc_id").alias("d"), F.col("item_id").alias("i")).distinct()
     both = pairs.join(hit.select("doc_id", "text"), F.col("d").eqNullSafe(F.col("doc_id"))).drop("d")
     both = both.join(items, F.col("i").eqNullSafe(F.col("item_id"))).select("doc_id", "item_id", "text", "item_text")

@@ -74,6 +74,25 @@ def test_contamination(frame):
     assert tiling.contaminated_pairs(frame(rows, DOC), frame([], "item_id long, text string")).collect() == []
 
 
+def test_contaminated_pairs_equal_brute_force_on_repetitive_items(frame):
+    r = random.Random(6)
+    refrain = "five words again and again "
+    items = [refrain * 20, "row " * 30, "a b " * 40, refrain * 8 + "then comes a last line of the song", "one line. " * 3 + refrain]
+    items += [" ".join(r.choice("abc") for _ in range(r.randint(1, 60))) for _ in range(15)]
+    docs = [f"before {items[0]} after", refrain * 13, refrain * 11, "row " * 25, "row " * 5, *items[2:5], "b a " * 30]
+    docs += [" ".join(r.choice("abcd") for _ in range(r.randint(1, 90))) for _ in range(15)]
+    want = {}
+    for i, item in enumerate(items):
+        for d, doc in enumerate(docs):
+            words = tiling.words_of(item)
+            covered = sum(n for _, _, n in tiling.tile(words, tiling.words_of(doc), min(5, len(words))))
+            if covered >= 0.6 * len(words):
+                want[d, i] = covered / len(words)
+    got = tiling.contaminated_pairs(frame(list(enumerate(docs)), DOC), frame(list(enumerate(items)), "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): r["coverage"] for r in got.collect()} == want
+    assert want[0, 0] == 1.0 and (1, 0) in want and (2, 0) not in want
+
+
 @pytest.mark.parametrize(("text", "found"), [
     ("a@b.c@d.e x@y", ["email a@b.c"]), ("1.2.3.4.5.6.7.8 999.1.1.1", ["ip 1.2.3.4", "ip 5.6.7.8"]),
     ("4111 1111 1111 1111 and 4111111111111112", ["card 4111 1111 1111 1111"]), ("+1 (988) 555-2485 +12", ["phone +1 (988) 555-2485"]),
