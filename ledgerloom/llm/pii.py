@@ -46,11 +46,13 @@ _DIGIT_WORDS = {
 _DIGIT = "(?:" + "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True)) + ")"
 _AT = r"(?:at|arroba|arobase|chez|ät)"
 _DOT = r"(?:dot|punkt|punto|point)"
-_DIGIT_RUN = re.compile(rf"(?<!\w)(?:plus[ ])?(?:{_DIGIT}|[0-9])(?:(?:[ \-,]{{1,2}}|[ ]{_DOT}[ ])(?:{_DIGIT}|[0-9]))+(?!\w)", re.IGNORECASE)
-_DIGIT_PART = re.compile(rf"{_DIGIT}|[0-9]|{_DOT}|plus", re.IGNORECASE)
+_DIGIT_RUN = re.compile(rf"(?<!\w)(?:plus[ ])?(?:{_DIGIT}|[0-9])(?:(?:[ \-,]{{1,2}}|\.|[ ]{_DOT}[ ])(?:{_DIGIT}|[0-9]))+(?!\w)", re.IGNORECASE)
+_DIGIT_PART = re.compile(rf"{_DIGIT}|[0-9.]|{_DOT}|plus", re.IGNORECASE)
 _SIGNS = re.compile(rf"[ ]?[\[({{<][ ]?(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.))[ ]?[\])}}>][ ]?", re.IGNORECASE)
-_SPOKEN = re.compile(rf"(?<![\w.%+-])[A-Za-z0-9._%+-]+(?P<at>[ ]{_AT}[ ])[A-Za-z0-9-]+(?P<dots>(?:[ ]{_DOT}[ ][A-Za-z0-9-]+)+)", re.IGNORECASE)
+_SPOKEN = re.compile(rf"(?P<at>@|[ ](?:{_AT}|@)[ ])(?P<domain>[A-Za-z0-9-]++(?:(?:\.|[ ]{_DOT}[ ])[A-Za-z0-9-]++)++)", re.IGNORECASE)
 _SPOKEN_DOT = re.compile(rf"[ ]{_DOT}[ ]", re.IGNORECASE)
+_SPOKEN_DOT_BEFORE = re.compile(rf"[ ]{_DOT}[ ]\Z", re.IGNORECASE)
+_DOTTED = re.compile(rf"(?<![0-9])[0-9]++(?:(?:\.|[ ]{_DOT}[ ])[0-9]++){{3,}}", re.IGNORECASE)
 _BRACKET_HINT = re.compile(r"[\[({<][ ]?(?:at|arroba|arobase|chez|ät|@|dot|punkt|punto|point|\.)[ ]?[\])}>]", re.IGNORECASE)
 _SPOKEN_HINTS = (" dot ", " punkt ", " punto ", " point ")
 _DIGIT_HINTS = tuple(f"{w} " for w in _DIGIT_WORDS) + tuple(f"{w}-" for w in _DIGIT_WORDS)
@@ -129,14 +131,18 @@ def _fold(t: Traced) -> Traced:
     return t.rewrite([(i, i + 1, new) for i, c in enumerate(t.text) if c > "\x7f" and (new := _folded(c)) != c])
 
 
+def _digit_runs(text: str) -> Iterator[tuple[int, list[re.Match]]]:
+    """(start, parts) of each run of digits of which two at least are spelled."""
+    for run in _DIGIT_RUN.finditer(text):
+        parts = list(_DIGIT_PART.finditer(text, *run.span()))
+        if sum(p[0].lower() in _DIGIT_WORDS for p in parts) >= 2:
+            yield run.start(), parts
+
+
 def _spelled(t: Traced) -> Traced:
-    """Runs of spelled digits; each word becomes one digit, separators vanish, "dot" between digits becomes a dot."""
+    """Runs of spelled digits; each word becomes one digit, "dot" between digits a dot, and other separators vanish."""
     edits = []
-    for run in _DIGIT_RUN.finditer(t.text):
-        parts = list(_DIGIT_PART.finditer(t.text, *run.span()))
-        if sum(p[0].lower() in _DIGIT_WORDS for p in parts) < 2:
-            continue
-        at = run.start()
+    for at, parts in _digit_runs(t.text):
         for p in parts:
             word = p[0].lower()
             if p.start() > at:
@@ -146,13 +152,40 @@ def _spelled(t: Traced) -> Traced:
     return t.rewrite(edits)
 
 
+def _bracketed(t: Traced) -> Traced:
+    return t.rewrite([(*m.span(), "@" if m["at"] else ".") for m in _SIGNS.finditer(t.text)])
+
+
+def _local_start(text: str, at: int, end: int) -> int:
+    """Start of the local part that ends at `at`, not before `end`; spoken dots join its pieces."""
+    start = at
+    while True:
+        piece = start
+        while piece > end and text[piece - 1] in _LOCAL:
+            piece -= 1
+        if piece == start:
+            return start if start == at else start + len(_SPOKEN_DOT.match(text, start)[0])
+        dot = _SPOKEN_DOT_BEFORE.search(text[max(end, piece - 8) : piece])
+        if dot is None:
+            return piece
+        start = piece - len(dot[0])
+
+
 def _signs(t: Traced) -> Traced:
-    t = t.rewrite([(*m.span(), "@" if m["at"] else ".") for m in _SIGNS.finditer(t.text)])
-    edits = []
-    for m in _SPOKEN.finditer(t.text):
-        edits.append((*m.span("at"), "@"))
-        edits += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(t.text, *m.span("dots"))]
-    return t.rewrite(edits)
+    """At and dot in words, also beside signs and former brackets. A spoken at counts only if a dot of the domain is
+    spoken or was bracketed; four groups of digits need one spoken dot."""
+    edits, end, text = [], 0, t.text
+    for m in _SPOKEN.finditer(text):
+        (at, after), (first, last) = m.span("at"), m.span("domain")
+        dots = [d.span() for d in _SPOKEN_DOT.finditer(text, first, last)]
+        hidden = dots or any(text[i] == "." and t.ends[i] - t.starts[i] > 1 for i in range(first, last))
+        start = _local_start(text, at, end) if m["at"] == "@" or hidden else at
+        if start < at:
+            edits += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(text, start, at)]
+            edits += [(at, after, "@")] * (m["at"] != "@") + [(a, b, ".") for a, b in dots]
+            end = last
+    t = t.rewrite(edits)
+    return t.rewrite([(*d.span(), ".") for m in _DOTTED.finditer(t.text) for d in _SPOKEN_DOT.finditer(t.text, *m.span())])
 
 
 def find_spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -167,14 +200,15 @@ def find_spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple
     if not (strange or signs or spelled):
         return plain, plain
     t = Traced(text, list(range(len(text))), list(range(1, len(text) + 1)))
-    for step in (_fold, _spelled, _signs):
+    for step in (_fold, _bracketed, _spelled, _signs):
         t = step(t)
     taken = {kind: [(a, b) for k, a, b in plain if k == kind] for kind in KINDS}
     found = list(plain)
     if t.text != text:
         for kind, a, b in find_plain(t.text):
             a, b = t.starts[a], t.ends[b - 1]
-            if all(b <= x or a >= y for x, y in taken[kind]):
+            # An address that was found in part is found again as a whole.
+            if all(b <= x or a >= y or (kind == "email" and a <= x and y <= b and b - a > y - x) for x, y in taken[kind]):
                 found.append((kind, a, b))
     return plain, sorted(found, key=lambda s: (KINDS.index(s[0]), s[1]))
 

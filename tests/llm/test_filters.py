@@ -106,6 +106,26 @@ def test_personal_data(text, found):
     assert set(plain) <= set(spans)
 
 
+@pytest.mark.parametrize(("kind", "hidden"), [
+    ("email", "joe (at) mail dot org"), ("email", "joe at mail (dot) org"), ("email", "joe@mail dot org"), ("email", "joe (at) mail.org"),
+    ("email", "joe dot smith at mail dot org"), ("email", "joe (dot) smith at mail dot org"), ("email", "joe dot smith (at) mail.org"),
+    ("email", "joe dot a (dot) smith@sub dot mail [dot] co.uk"), ("email", "joe at sub.mail dot org"), ("email", "joe @ mail dot org"),
+    ("ip", "192 dot 168 dot 0 dot 1"), ("ip", "192 (dot) 168 dot 0.1"), ("ip", "192 dot one six eight dot 0 dot 1"),
+    ("ip", "one nine two (dot) one six eight dot zero (dot) one"),
+])
+def test_mixed_disguises_keep_their_source_offsets(kind, hidden):
+    text = f"h\u00e9llo, {hidden}, bye"
+    assert pii.find_spans(text) == ([], [(kind, 7, 7 + len(hidden))])
+    assert pii.masked(text, pii.find_spans(text)[1]) == f"h\u00e9llo, <{kind.upper()}>, bye"
+
+
+def test_address_found_in_part_is_masked_as_a_whole():
+    plain, spans = pii.find_spans("now joe dot smith@mail.org, or")
+    assert plain == [("email", 12, 26)] and spans == [("email", 4, 26), ("email", 12, 26)]
+    assert pii.masked("now joe dot smith@mail.org, or", spans) == "now <EMAIL>, or"
+    assert pii.find_spans("look at mail.org or 3 point 5") == ([], [])
+
+
 def test_personal_data_of_long_texts_and_rows(frame):
     pii.find_spans("1" * 100_000 + "a." * 50_000 + "+" + "1 " * 50_000)
     rows = [(1, "mail a@b.c now"), (1, "mail a@b.c now"), (None, None), (2, "")]
