@@ -55,7 +55,6 @@ _SPOKEN_DOT_BEFORE = re.compile(rf"[ ]{_DOT}[ ]\Z", re.IGNORECASE)
 _DOTTED = re.compile(rf"(?<![0-9])[0-9]++(?:(?:\.|[ ]{_DOT}[ ])[0-9]++){{3,}}", re.IGNORECASE)
 _BRACKET_HINT = re.compile(r"[\[({<][ ]?(?:at|arroba|arobase|chez|ät|@|dot|punkt|punto|point|\.)[ ]?[\])}>]", re.IGNORECASE)
 _SPOKEN_HINTS = (" dot ", " punkt ", " punto ", " point ")
-_DIGIT_HINTS = tuple(f"{w} " for w in _DIGIT_WORDS) + tuple(f"{w}-" for w in _DIGIT_WORDS)
 
 
 @lru_cache(maxsize=4096)
@@ -196,7 +195,7 @@ def find_spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple
     low = text.lower()
     strange = not text.isascii() and any(_folded(c) != c for c in set(text) if c > "\x7f")
     signs = _BRACKET_HINT.search(text) is not None or any(h in low for h in _SPOKEN_HINTS)
-    spelled = any(h in low for h in _DIGIT_HINTS) and _DIGIT_RUN.search(text) is not None
+    spelled = next(_digit_runs(text), None) is not None
     if not (strange or signs or spelled):
         return plain, plain
     t = Traced(text, list(range(len(text))), list(range(1, len(text) + 1)))

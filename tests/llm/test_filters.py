@@ -126,6 +126,15 @@ def test_address_found_in_part_is_masked_as_a_whole():
     assert pii.find_spans("look at mail.org or 3 point 5") == ([], [])
 
 
+@pytest.mark.parametrize(("kind", "hidden"), [
+    ("phone", "plus four, nine, one, seven, six, five, four, three, two"), ("phone", "plus four,nine,one,seven,six,five,four,three,two"),
+    ("card", ",".join(["four"] + ["one"] * 15)),
+])
+def test_spelled_digits_with_commas(kind, hidden):
+    for before in ("", "someone "):
+        assert pii.find_spans(f"{before}{hidden}.")[1] == [(kind, len(before), len(before + hidden))]
+
+
 def test_personal_data_of_long_texts_and_rows(frame):
     pii.find_spans("1" * 100_000 + "a." * 50_000 + "+" + "1 " * 50_000)
     rows = [(1, "mail a@b.c now"), (1, "mail a@b.c now"), (None, None), (2, "")]
