@@ -68,17 +68,18 @@ def unpack_block(data: bytes) -> np.ndarray:
 class LibraryEncoder:
     """Units to ids with the tokenizers library, given as little-endian unsigned 32-bit bytes.
 
-    Strings of special tokens in a text are ordinary text. Pieces go to the library's own BPE model; `pattern` is
-    the split of its byte-level pre-tokenizer.
+    Pieces go to the library's own BPE model; `pattern` is the split of its byte-level pre-tokenizer. Strings of added
+    tokens in a text are ordinary text, or with `added` those tokens, as the library has it by default: a text with
+    such a string goes through the library as a whole.
     """
 
-    def __init__(self, path: str, pattern: str, memo_units: int = 500_000):
+    def __init__(self, path: str, pattern: str, memo_units: int = 500_000, added: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        self.model = tokenizer.model
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self.memo = Memo(memo_units)
         self.pieces, self.find = splitter(pattern)
         # Fixed values of byte-level vocabularies: printable bytes stand for themselves, the others follow from 256 on.
@@ -98,28 +99,34 @@ class LibraryEncoder:
         done = {p: self._piece(p) for p in set().union(*split)}
         return (done[s[0]] if len(s) == 1 else b"".join([done[p] for p in s]) for s in split)
 
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def texts(self, texts: list[str | None]) -> list[bytes]:
-        groups = [units_of(t or "", self.find) for t in texts]
+        whole = {i: self._whole(t) for i, t in enumerate(texts) if t and any(a in t for a in self.added)}
+        groups = [units_of("" if i in whole else t or "", self.find) for i, t in enumerate(texts)]
         known = self.memo.encode(groups, self._encode)
-        return [b"".join([known[u] for u in g]) for g in groups]
+        return [whole[i] if i in whole else b"".join([known[u] for u in g]) for i, g in enumerate(groups)]
 
 
-_ENCODERS: dict[tuple[str, str], LibraryEncoder] = {}
+_ENCODERS: dict[tuple[str, str, bool], LibraryEncoder] = {}
 
 
-def library_encoder(path: str, pattern: str) -> LibraryEncoder:
+def library_encoder(path: str, pattern: str, added: bool = False) -> LibraryEncoder:
     """The worker's encoder; its memo outlives a task."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = LibraryEncoder(path, pattern)
-    encoder = _ENCODERS[path, pattern]
+    if (path, pattern, added) not in _ENCODERS:
+        _ENCODERS[path, pattern, added] = LibraryEncoder(path, pattern, added=added)
+    encoder = _ENCODERS[path, pattern, added]
     encoder.memo.start_task()
     return encoder
 
 
 def write_token_ids(
-    docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int = 0, block_ids: int = BLOCK_IDS, kind: str = "byte"
-) -> None:
-    """Encode (doc_id, text) and write a token folder at `path`.
+    docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int = 0, block_ids: int = BLOCK_IDS, kind: str = "byte",
+    added: bool = False,
+) -> None:
+    """Encode (doc_id, text) and write a token folder at `path`; `added` as in `LibraryEncoder`.
 
     Every document gets `end_id` at its end; null and empty texts consist of it alone. Documents go in ascending
     doc_id order, null first; rows that repeat a doc_id stay, ordered by text. Other columns are ignored. A shard is
@@ -128,7 +135,7 @@ def write_token_ids(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        encoder = library_encoder(tokenizer, pattern)
+        encoder = library_encoder(tokenizer, pattern, added)
         end = struct.pack("<I", end_id)
         held, n_held, docs_held = [], 0, []  # open block: bytes, ids, (doc_seq, doc_id, ids) of its documents
         seq, block, first = 0, 0, 0

@@ -54,7 +54,7 @@ def op3_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bit_plane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-ids")
     docs = table(spark, sf_dir, "documents")
-    bitplanes.write_token_ids(docs, path, public_tokenizers.path(LIBRARY_VOCABULARY), public_tokenizers.PATTERN)
+    bitplanes.write_token_ids(docs, path, public_tokenizers.path(LIBRARY_VOCABULARY), public_tokenizers.PATTERN, added=True)
     return bitplanes.digests(spark, path)
 
 

@@ -57,6 +57,27 @@ def test_memo_overflow_and_odd_texts(library, ranks):
         assert data == text.encode()
 
 
+def test_added_tokens_as_the_library_has_them_by_default():
+    default = Tokenizer.from_file(LIBRARY)
+    encoder = B.LibraryEncoder(LIBRARY, P.PATTERN, memo_units=5, added=True)
+    given = [None, "", "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext| >", *texts(600)]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.texts(given)]
+    assert got == [default.encode(t or "", add_special_tokens=False).ids for t in given]
+    assert got[2] == [64, 220, 50256, 275]
+
+
+def test_query_of_token_ids_knows_added_tokens(spark, tmp_path):
+    from ledgerloom.llm.queries import op4_bit_plane_ids
+
+    rows, default, start = [(1, "a <|endoftext|> b"), (2, "the next one"), (3, None)], Tokenizer.from_file(LIBRARY), 0
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, op4_bit_plane_ids(spark, f"file://{tmp_path}").collect()))
+    for doc, (doc_id, text) in zip(got, rows, strict=True):
+        ids = [*default.encode(text or "", add_special_tokens=False).ids, 0]
+        assert doc == (doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_long_pieces(ranks):
     text = "ab" * 20_000 + "a" * 5001 + " " * 3000
     ids, data = R.ReplayEncoder(RANKS, P.PATTERN).texts([text])[0]
