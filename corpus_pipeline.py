@@ -13,8 +13,10 @@ from ledgerloom.llm.staging import staged
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a determinable language: a null text, or one without a letter."""
-    found = language.identify(docs, language.train(docs)).where(F.col("lang_pred") != language.UNDETERMINED)
+    """Rejects documents without a determinable language: a null text, or one without a letter. Where no label is
+    there to learn from, all other texts stay."""
+    found = language.identify(docs, language.train(docs))
+    found = found.where((F.col("lang_pred") != language.UNDETERMINED) | language.has_letter(F.col("row.text")))
     return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerloom.llm.units import slices
 
@@ -33,10 +34,9 @@ FAMILIES = {
 @dataclass(frozen=True)
 class LanguageSettings:
     """`per_language` bounds the training documents of each language (those with the smallest hashed doc_id);
-    `languages` bounds the number of languages, most frequent first; `bits`: log2 of the hashed features."""
+    `bits`: log2 of the hashed features."""
 
     per_language: int = 200
-    languages: int = 64
     bits: int = 14
     penalty: float = 100.0
     epochs: int = 40
@@ -120,11 +120,11 @@ def fit(examples: list[tuple[str, str]], settings: LanguageSettings = LanguageSe
     duels = [(f"family {a}", f"family {b}", family == a, family == b) for a, b in combinations(tree, 2)]
     duels += [(a, b, langs == a, langs == b) for members in tree.values() for a, b in combinations(members, 2)]
     x = np.array(rows, np.float32).reshape(-1, 1 << s.bits)
-    gram = (x @ x.T).astype(np.float64) + 1.0  # the bias is one more constant feature
     coefficients = np.zeros((len(rows), len(duels)))
     for j, (_, _, a, b) in enumerate(duels):
         who = np.flatnonzero(a | b)
-        coefficients[who, j] = _separator(gram[np.ix_(who, who)], np.where(a[who], 1.0, -1.0), s)
+        gram = (x[who] @ x[who].T).astype(np.float64) + 1.0  # the bias is one more constant feature
+        coefficients[who, j] = _separator(gram, np.where(a[who], 1.0, -1.0), s)
     weights = x.T @ coefficients.astype(np.float32)
     return LanguageModel(tree, tuple((a, b) for a, b, _, _ in duels), np.ascontiguousarray(weights), coefficients.sum(axis=0))
 
@@ -160,22 +160,25 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def has_letter(text: Column) -> Column:
+    """False for a null text and one without a letter."""
+    return F.coalesce(text.cast("string").rlike(r"\p{L}"), F.lit(False))
+
+
 def train(docs: DataFrame, settings: LanguageSettings = LanguageSettings(), families: Mapping[str, str] = FAMILIES) -> LanguageModel:
-    """Fit on a bounded sample of rows that have a language and are not held out. The first pass reads ids and
-    languages only; the driver receives `languages` times `per_language` texts at most."""
+    """Fit every language on a bounded sample of rows that have it, a letter and an id that is not held out. The first
+    pass counts ids per language, which bounds the hashes of the second; the driver receives `per_language` texts of
+    each language at most."""
     s = settings
-    usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    ids = usable.select("lang", "doc_id")
-    counts = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(s.languages).collect()
-    chosen: list[int] = []
-    for row in counts:
-        own = ids.where(F.col("lang") == row["lang"]).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
-        chosen += [r["doc_id"] for r in own.limit(s.per_language).collect()]
-    if not chosen:
-        return fit([], s, families)
-    picked = usable.where(F.col("doc_id").isin(chosen) & F.col("lang").isin([r["lang"] for r in counts]))
-    picked = picked.where(F.col("text").isNotNull()).select("doc_id", "text", "lang").distinct()
-    rows = picked.orderBy("doc_id", "lang", F.xxhash64("text")).limit(s.languages * s.per_language).collect()
+    usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & has_letter(F.col("text")))
+    usable = usable.select("lang", "doc_id", "text", F.xxhash64("doc_id").alias("place"))
+    sizes = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
+    # Hashes spread evenly, so about twice as many ids as needed lie below this bound.
+    low = (F.col("place") / F.lit(2.0**64) + 0.5) * F.col("n") < 2.0 * s.per_language + 50
+    near = usable.join(F.broadcast(sizes), "lang").where(low).select("lang", "doc_id", "text", "place").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", F.xxhash64("text"), "text"))
+    picked = near.withColumn("rank", rank).where(F.col("rank") <= s.per_language)
+    rows = picked.select("doc_id", "text", "lang").orderBy("doc_id", "lang", F.xxhash64("text")).collect()
     return fit([(r["text"], r["lang"]) for r in rows], s, families)
 
 

@@ -163,6 +163,29 @@ def test_language(frame, spark, sf_dir):
     assert language.train(docs.limit(0)).families == {}
 
 
+def test_every_language_is_learned(frame):
+    texts = {f"x{i}": chr(0x4E00 + i) * 3 + " " + chr(0x4E00 + i) for i in range(70)}
+    rows = [(100 * i + j, text, lang) for i, (lang, text) in enumerate(texts.items()) for j in range(8)]
+    small = language.LanguageSettings(per_language=3, bits=10)
+    model = language.train(frame(rows, f"{DOC}, lang string"), small)
+    assert {x for members in model.families.values() for x in members} == set(texts)
+    assert sum(language.predict(text, model, small)[0] == lang for lang, text in texts.items()) >= 68  # few hashes collide
+
+
+def test_languages_are_learned_from_usable_texts(frame):
+    rows = [(i, "1 2 3" if i % 2 else None, "xx") for i in range(300)] + [(i, "word", "xx") for i in range(300, 308)] + [(i, "mot", "yy") for i in range(8)]
+    model = language.train(frame(rows, f"{DOC}, lang string"), language.LanguageSettings(per_language=2, bits=10))
+    assert model.families == {"xx": ("xx",), "yy": ("yy",)}
+
+
+def test_pipeline_keeps_unlabelled_documents(frame, spark, sf_dir):
+    import corpus_pipeline as C
+
+    docs = frame([(1, "some words", None), (2, None, None), (3, "12 !", None), (None, "\u65e5\u672c", None)], f"{DOC}, lang string")
+    kept = C.keep_languages(spark, docs, sf_dir)
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1] and kept.columns == docs.columns
+
+
 def test_preferences(frame):
     rows = [
         (1, "chosen", 0, "user", "hi"), (1, "chosen", 1, "assistant", "good"), (1, "rejected", 0, "user", "hi"), (1, "rejected", 1, "assistant", "bad"),
