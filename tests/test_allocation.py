@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from ledgerloom import rules as R
 from ledgerloom.operators import allocate as A
 from ledgerloom.operators import classify as C

@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from ledgerloom.functions.scalars import normalize_id
 from ledgerloom.operators import lookup as L
 from ledgerloom.operators.reconcile import reconcile, reconcile_totals

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.queries import RULES, ViewTables, queries
-from conftest import rows
+from helpers import rows
 from ledgerloom import rules as R
 from ledgerloom.plans import acquisition, revenue, rewards
 

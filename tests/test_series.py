@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from ledgerloom.operators import series as TS
 
 
