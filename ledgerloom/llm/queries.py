@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -10,7 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bitplanes, bpe_replay, html_tree, language, minhash, pii, preference, tiling, url_bloom, vptree
+from ledgerloom.llm import (
+    anchors, bitplanes, bpe_replay, html_tree, language, merkle, minhash, pii, preference, tiling, url_bloom, vafile, vptree,
+)
 from ledgerloom.llm.html_labelled import labelled_pages
 from ledgerloom.llm.staging import new_path
 
@@ -103,9 +106,27 @@ def op10_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preference_turns(conversation_pairs(table(spark, sf_dir, "conversations")))
 
 
+def op11_va_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.centroid_clusters(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op12_path_copying_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    return merkle.manifest(docs, columns, "lang", "doc_id", {"text": lower}, third).drop("copied")
+
+
+def op13_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = anchors.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _QUERIES = (
     op1_vantage_point_search, op2_html_tree_model, op3_minhash_bayes, op4_bit_plane_ids, op5_merge_replay,
     op6_blocked_bloom, op7_string_tiling, op8_traced_pii, op9_language_family, op10_preference_pairs,
+    op11_va_file_clusters, op12_path_copying_manifest, op13_block_anchors,
 )
 
 
@@ -181,5 +202,95 @@ FROM shown
 """
 
 
+def _op11(k: int = 40, rounds: int = 5) -> str:
+    """The rounds of the clustering, one after the other."""
+    near = """SELECT r, c, d FROM (
+    SELECT r, c, list_sum(list_transform(range(1, 65), lambda i: (v[i] - m[i]) * (v[i] - m[i])))::BIGINT AS d FROM kept, c{0})
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1"""
+    steps = []
+    for i in range(rounds):
+        steps.append(f"""a{i} AS MATERIALIZED ({near.format(i)}),
+c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.c, coalesce(t.m, c{i}.m) AS m FROM c{i} LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS m FROM (
+      SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (
+        SELECT c, unnest(range(1, 65)) AS i, unnest(v) AS x FROM a{i} JOIN kept USING (r)) GROUP BY c, i) GROUP BY c) t ON t.c = c{i}.c)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v AS m FROM kept QUALIFY c < {k}),
+{", ".join(steps)},
+last AS MATERIALIZED ({near.format(rounds)})
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM last JOIN kept USING (r) JOIN c{rounds} USING (c)
+"""
+
+
+def _op12(levels: int = 8, upper: int = 4) -> str:
+    """Leaves, `levels` levels of the languages' trees (enough for 8 ** levels documents of one) and `upper` of the root's."""
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0} END"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaf = " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    other = " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", lower))
+    crc = """xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda a, b: list_reduce(
+      list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+    steps = []
+    for i in range(levels + upper):
+        grp = "grp" if i < levels else "''"
+        if i == levels:
+            steps.append(f"n{i} AS MATERIALIZED (SELECT '' AS grp, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n, h FROM m{i})")
+        else:
+            steps.append(f"n{i} AS MATERIALIZED (SELECT grp, pos, count(*) OVER (PARTITION BY grp) AS n, h FROM m{i})")
+        steps.append(f"r{i} AS MATERIALIZED (SELECT grp, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM n{i} WHERE n > 1 GROUP BY grp, run)")
+        steps.append(f"""m{i + 1} AS MATERIALIZED (
+  SELECT grp, run AS pos, sha256(array_to_string(hs, '')) AS h FROM r{i} UNION ALL SELECT grp, pos, h FROM n{i} WHERE n = 1)""")
+        top = "f AS unused" if i != levels else "m.h AS top"
+        place = "d.pos" if i != levels else "(SELECT count(DISTINCT e.grp) FROM n0 e WHERE e.grp < d.grp)"
+        steps.append(f"""q{i} AS MATERIALIZED (
+  SELECT d.* EXCLUDE (pos), {place} AS pos FROM d{i} d),
+d{i + 1} AS MATERIALIZED (
+  SELECT d.* EXCLUDE (pos, f, sib), CASE WHEN hs IS NULL THEN d.pos ELSE d.pos // 8 END AS pos,
+    CASE WHEN hs IS NULL THEN f ELSE sha256(array_to_string(list_concat(hs[:d.pos % 8], [f], hs[d.pos % 8 + 2:]), '')) END AS f,
+    CASE WHEN hs IS NULL THEN sib ELSE sib || array_to_string(list_concat(hs[:d.pos % 8], hs[d.pos % 8 + 2:]), '') END AS sib
+  FROM q{i} d LEFT JOIN r{i} r ON r.grp = {"d.grp" if i < levels else "''"} AND r.run = d.pos // 8)""")
+    return f"""
+WITH leaves AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '-' ELSE '=' || lang END AS grp, sha256({leaf}) AS leaf, sha256({other}) AS other, {crc} % 3 = 0 AS hit
+  FROM documents),
+d0 AS MATERIALIZED (
+  SELECT doc_id, grp, leaf, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    CASE WHEN hit THEN other ELSE leaf END AS f, '' AS sib FROM leaves),
+m0 AS MATERIALIZED (SELECT grp, pos, leaf AS h FROM d0),
+{", ".join(steps)}
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(sib) AS proof_sha256, f AS folded_root, f = t.h AS verified
+FROM d{levels + upper} d JOIN m{levels} s ON s.grp = d.grp CROSS JOIN m{levels + upper} t
+"""
+
+
+_OP13 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+placed AS MATERIALIZED (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM words),
+whole AS (
+  SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS win FROM placed),
+windows AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY sha256(array_to_string(win, ' ')) ORDER BY doc_id, i) > 1 AS later FROM whole WHERE len(win) = 20),
+marked AS (
+  SELECT doc_id, i, word, coalesce(max(later) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM placed LEFT JOIN windows USING (doc_id, i))
+SELECT d.doc_id, count(m.i) AS n_words, count(m.i) FILTER (m.gone) AS n_removed,
+  sha256(coalesce(string_agg(m.word, ' ' ORDER BY m.i) FILTER (NOT m.gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN marked m ON m.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash_bayes": _OP3, "op6_blocked_bloom": _OP6, "op10_preference_pairs": _OP10}
+    return {
+        "op3_minhash_bayes": _OP3, "op6_blocked_bloom": _OP6, "op10_preference_pairs": _OP10, "op11_va_file_clusters": _op11(),
+        "op12_path_copying_manifest": _op12(), "op13_block_anchors": _OP13,
+    }
