@@ -1,7 +1,7 @@
 """The registered queries in SQL for the checking engine.
 
-Written line by line over the views, without the pre-aggregation, salting and look-up rewrites the
-Spark plans use, so that those rewrites are what the comparison tests.
+Written line by line over the views, without the pre-aggregation and look-up rewrites the Spark plans
+use, so that those rewrites are what the comparison tests.
 """
 
 from __future__ import annotations
@@ -1115,6 +1115,42 @@ SELECT * EXCLUDE (best), {status("best")} AS document_status FROM (
 for _variant in ("with_product", "no_product", "other_products", "main_family"):
     SQL[f"buildup_{_variant}"] = iso(f"SELECT * FROM {{buildup_{_variant}}}", "full_date", "holding_cohort")
 
+# Stored, ordered and incremental results equal those of the whole plans.
+for _name, _whole in {
+    "revenue_cube_from_stored_rewards": "revenue_cube", "consolidated_pnl_from_stored_cubes": "consolidated_pnl",
+    "incremental_revenue_lines": "revenue_lines", "reconcile_changed_documents": "reconcile_by_holding",
+    "cumulative_extended": "cumulative_by_calendar",
+}.items():
+    SQL[_name] = SQL[_whole]
+
+SQL["ordered_revenue_cube"] = """
+SELECT year, month, revenue_stream, tax_id_client, row_number() OVER (
+  ORDER BY year NULLS FIRST, month NULLS FIRST, revenue_stream NULLS FIRST, tax_id_client NULLS FIRST) AS place FROM {revenue_cube}"""
+SQL["ordered_financial_cost"] = """
+SELECT year, month, original_value, row_number() OVER (
+  ORDER BY year DESC NULLS LAST, month DESC NULLS LAST, original_value ASC NULLS FIRST) AS place FROM {financial_rows}"""
+
+_DOCUMENT = "document_number, legal_client_id, document_type, revenue_stream, legal_entity_country, service_date, holding_name, document_binary"
+BLOCKS["documents_before"] = f"""
+SELECT {_DOCUMENT} FROM {{current_holding}} WHERE right(document_number, 1) NOT IN ('0', '1')
+UNION ALL SELECT document_number, legal_client_id, 'Provision', revenue_stream, legal_entity_country, service_date, holding_name, 0
+FROM {{current_holding}} WHERE right(document_number, 1) = '1'
+UNION ALL SELECT document_number || '-x', legal_client_id, 'Invoice', revenue_stream, legal_entity_country, service_date, holding_name, 1
+FROM {{current_holding}} WHERE right(document_number, 1) = '2'
+"""
+
+
+def _kept_documents(source: str) -> str:
+    return f"""
+SELECT * EXCLUDE (best) FROM (
+  SELECT {_DOCUMENT}, MAX(document_binary) OVER (PARTITION BY holding_name, service_date, revenue_stream) AS best
+  FROM {{{source}}}) WHERE document_binary = best"""
+
+
+SQL["reconcile_delta"] = iso(f"""
+SELECT *, CAST(1 AS BIGINT) AS change FROM ({_kept_documents("current_holding")} EXCEPT ALL {_kept_documents("documents_before")})
+UNION ALL SELECT *, CAST(-1 AS BIGINT) FROM ({_kept_documents("documents_before")} EXCEPT ALL {_kept_documents("current_holding")})""", "service_date")
+
 
 def oracle_sql() -> dict[str, str]:
     """Query name to one self-contained statement over the given tables."""

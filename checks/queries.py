@@ -21,9 +21,13 @@ from ledgerloom.operators import lookup as L
 from ledgerloom.operators import reconcile as RC
 from ledgerloom.operators import series as TS
 from ledgerloom.operators.fx import fx_convert
+from ledgerloom.operators.running import RunningTotals
 from ledgerloom.plans import acquisition, engagement, expenses, pnl, revenue, rewards
-from ledgerloom.sources import shapes
+from ledgerloom.sources import ordered, shapes
+from ledgerloom.sources.cubes import read_cube, write_cube
+from ledgerloom.sources.incremental import StoredCube
 from ledgerloom.sources.schemas import SCHEMAS
+from ledgerloom.sources.shared import new_path
 from ledgerloom.sources.warehouse import conform
 
 RULES = R.Rules(
@@ -641,6 +645,155 @@ def consolidated_pnl(t: ViewTables) -> DataFrame:
     return pnl.consolidated_pnl(t, RULES, MIN_YEAR, LATER_MIN_YEAR, SINCE, SINCE)
 
 
+# ---- stored, ordered and incremental results -----------------------------------------------------------
+
+
+class Replaced(Mapping):
+    """The plans' tables with some of them replaced."""
+
+    def __init__(self, t: Mapping[str, DataFrame], **frames: DataFrame):
+        self._t, self._frames = t, frames
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._frames[name] if name in self._frames else self._t[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter({*self._t, *self._frames})
+
+    def __len__(self) -> int:
+        return len({*self._t, *self._frames})
+
+
+def _stored(t: ViewTables, name: str, df: DataFrame, partition: str = "year") -> DataFrame:
+    """`df` written as a cube and read back under its declared schema."""
+    path = new_path(t.spark, name)
+    write_cube(df, path, [partition])
+    return read_cube(t.spark, path, name if name in SCHEMAS else None).select(*df.columns)
+
+
+@query
+def revenue_cube_from_stored_rewards(t: ViewTables) -> DataFrame:
+    """The rewards lines of both countries as a stored cube, which the revenue cube reads."""
+    return revenue.revenue_cube(Replaced(t, cube_rewards=_stored(t, "cube_rewards", t["cube_rewards"])), RULES)
+
+
+@query
+def consolidated_pnl_from_stored_cubes(t: ViewTables) -> DataFrame:
+    """Every cube written once, in the order in which they read each other, and the P&L from what is stored."""
+    stored = Replaced(t, expense_cube=_stored(t, "expense_cube", t["expense_cube"]))
+    stored = Replaced(stored, cube_rewards=_stored(t, "cube_rewards", rewards_revenue(stored)))
+    cubes = {"revenue_cube": revenue.revenue_cube(stored, RULES), "buildup_cube": revenue.buildup(stored, RULES, "with_product")}
+    stored = Replaced(stored, **{name: _stored(t, name, df) for name, df in cubes.items()})
+    return pnl.consolidated_pnl(stored, RULES, MIN_YEAR, LATER_MIN_YEAR, SINCE, SINCE)
+
+
+@query
+def ordered_revenue_cube(t: ViewTables) -> DataFrame:
+    """Global places of the revenue cube's lines in their output order."""
+    order = {"year": "asc", "month": "asc", "revenue_stream": "asc", "tax_id_client": "asc"}
+    path = new_path(t.spark, "ordered-revenue")
+    ordered.write_ordered(t["revenue_cube"], path, order)
+    return ordered.read_ordered(t.spark, path, "place").select(*order, "place")
+
+
+@query
+def ordered_financial_cost(t: ViewTables) -> DataFrame:
+    """The same with mixed directions: latest months first, then the smallest original cost."""
+    order = {"year": "desc", "month": "desc", "original_value": "asc"}
+    path = new_path(t.spark, "ordered-cost")
+    ordered.write_ordered(expenses.financial_cost(t, RULES, MIN_YEAR, CUTOVER), path, order)
+    return ordered.read_ordered(t.spark, path, "place").select(*order, "place")
+
+
+def _ledger_sources(t: ViewTables) -> dict[str, DataFrame]:
+    return {name: t[name] for name in revenue.ALL_LEDGERS}
+
+
+def _by_month(sources: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame, object]]:
+    return {name: (df, S.year_month("service_date")) for name, df in sources.items()}
+
+
+@query
+def incremental_revenue_lines(t: ViewTables) -> DataFrame:
+    """Revenue lines stored by month from a ledger with one month wrong, one missing and one too many, and brought up
+    to date with the real ledger: only these months are recomputed."""
+    sources = _ledger_sources(t)
+    current, period = sources["ledger_current"], F.trunc("service_date", "MONTH")
+    wrong, missing = F.lit(dt.date(1997, 3, 1)), F.lit(dt.date(1997, 6, 1))
+    early = current.where(period.isNull() | (period != missing)).withColumn(
+        "value_lc", F.when(period == wrong, F.col("value_lc") * 2).otherwise(F.col("value_lc"))
+    )
+    extra = current.where(period == missing).withColumn("service_date", F.add_months("service_date", 1200).cast(current.schema["service_date"].dataType))
+    early = early.unionByName(extra)
+
+    def build(parts: Mapping[str, DataFrame]) -> DataFrame:
+        lines = revenue.revenue_lines(Replaced(t, **parts), RULES)
+        return lines.withColumn("period", S.year_month("full_date").cast("long"))
+
+    cube = StoredCube(t.spark, new_path(t.spark, "revenue-lines"))
+    context = {"holdings": t["holdings"], "fx_budget": t["fx_budget"]}
+    cube.refresh(_by_month({**sources, "ledger_current": early}), build, context)
+    cube.refresh(_by_month(sources), build, context)
+    return cube.read().drop("period")
+
+
+def _written(t: ViewTables, name: str, df: DataFrame) -> DataFrame:
+    path = new_path(t.spark, name)
+    df.write.parquet(path)
+    return t.spark.read.schema(df.schema).parquet(path)
+
+
+def _document_changes(t: ViewTables) -> tuple[DataFrame, DataFrame]:
+    """Stored documents and what changes them into the present ones, by the last digit of the document number: 0 comes
+    late, 1 was stored as a provision, 2 has a second document that is withdrawn."""
+    lines = _written(t, "lines", _enriched(t))
+    number, kind = F.col("document_number"), F.col("document_type")
+    digit = F.substring(number, -1, 1)
+    old = lines.withColumn("document_type", F.when(digit == "1", "Provision").otherwise(kind))
+    twin = lines.where(digit == "2").withColumns({"document_number": F.concat(number, F.lit("-x")), "document_type": F.lit("Invoice")})
+    before = old.where(digit != "0").unionByName(twin)
+    fixed = lines.where((digit == "1") & ~kind.eqNullSafe(F.lit("Provision")))
+    signs = [
+        (lines.where(digit == "0"), 1), (twin, -1), (fixed, 1), (fixed.withColumn("document_type", F.lit("Provision")), -1),
+    ]
+    changes = shapes.union_all([df.withColumn("change", F.lit(n)) for df, n in signs])
+    return _written(t, "documents", before), _written(t, "changes", changes)
+
+
+RECONCILE_KEYS = ("holding_name", "service_date", "revenue_stream")
+
+
+@query
+def reconcile_changed_documents(t: ViewTables) -> DataFrame:
+    """A stored reconciled result after late, corrected and withdrawn documents: equal to the full plan."""
+    before, changes = _document_changes(t)
+    stored = _written(t, "reconciled", RC.reconcile(before, RECONCILE_KEYS))
+    delta = _written(t, "delta", RC.reconcile_delta(before, changes, RECONCILE_KEYS))
+    now = RC.apply_delta(stored, delta, RECONCILE_KEYS)
+    return now.withColumn("document_status", B.document_status("document_binary"))
+
+
+@query
+def reconcile_delta(t: ViewTables) -> DataFrame:
+    """The rows that these changes enter into the result and retract from it."""
+    before, changes = _document_changes(t)
+    return RC.reconcile_delta(before, changes, RECONCILE_KEYS)
+
+
+@query
+def cumulative_extended(t: ViewTables) -> DataFrame:
+    """Running totals stored up to a year with one month loaded in part, extended by the years after it, and corrected
+    by that month's whole rows."""
+    start, cut, partial = dt.date(1996, 1, 1), F.lit(dt.date(1997, 1, 1)), F.lit(dt.date(1996, 5, 1))
+    sessions, kpis = engagement.monthly_sessions(t, AS_OF), engagement.ACTIVITY_KPIS
+    month = F.col("month_act")
+    totals = RunningTotals(t.spark, new_path(t.spark, "activity-totals"), kpis)
+    totals.extend(sessions.where((month < cut) & ((month != partial) | (F.col("minutes") > 40))), "month_act")
+    totals.extend(sessions.where(month >= cut), "month_act")
+    totals.extend(sessions.where(month == partial), "month_act")
+    return engagement.activity_units(totals.by_calendar(shapes.calendar_months(t["calendar"], start, AS_OF)))
+
+
 @lru_cache(maxsize=4)
 def _tables(spark: SparkSession, sf_dir: str) -> ViewTables:
     """Lazy plans of the views, built once per session and folder."""

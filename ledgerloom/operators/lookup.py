@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,21 @@ def _zero(*names: str) -> Column:
     return F.pmod(F.xxhash64(*names), F.lit(1).cast("long"))
 
 
+_SPREAD_TYPES = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_SPREAD_TASKS = 1 << 20
+
+
+def _spread(df: DataFrame, taken: Iterable[str | Column]) -> Column:
+    """A positive number by which rows that match nothing are dealt: a hash of at most two columns that are no keys,
+    amounts and dates first. It is deterministic, so that later filters get below the join, and names so few columns
+    that the scan still reads only what is asked for."""
+    keys = {c for c in taken if isinstance(c, str)}
+    free = [f for f in df.schema if f.name not in keys and not isinstance(f.dataType, (T.VariantType, T.MapType))]
+    varied = [f.name for f in free if isinstance(f.dataType, _SPREAD_TYPES)]
+    names = (varied or [f.name for f in free] or df.columns)[:2]
+    return F.lit(1).cast("long") + F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in names]), F.lit(_SPREAD_TASKS).cast("long"))
+
+
 def lookup(
     facts: DataFrame,
     dim: DataFrame,
@@ -42,7 +58,7 @@ def lookup(
     """Add attributes of `dim` to `facts` by an equi-join.
 
     Spark decides from measured sizes whether the dimension is broadcast, and splits the partition of a hot key. Facts
-    of a left join whose key is NULL match nothing; they are dealt by their input partition, so they don't meet in one
+    of a left join whose key is NULL match nothing; they are dealt by their other values, so they don't meet in one
     task. Duplicate keys in `dim` fan rows out, as a join does.
     """
     if not isinstance(attributes, Mapping):
@@ -70,7 +86,7 @@ def lookup(
     for i, key in enumerate(keys):
         if not key.null_safe:
             unmatched = unmatched | F.col(f"__f{i}").isNull()
-    left = left.withColumn("__deal", F.when(unmatched, F.lit(1) + F.spark_partition_id()).otherwise(F.lit(0)).cast("long"))
+    left = left.withColumn("__deal", F.when(unmatched, _spread(facts, [k.left for k in keys])).otherwise(F.lit(0).cast("long")))
     right = dim.withColumn("__zero", _zero(*names))
     conditions = [F.col("__deal") == F.col("__zero")]
     for i, key in enumerate(keys):
@@ -83,10 +99,10 @@ def lookup(
 def without_matches(facts: DataFrame, groups: DataFrame, keys: Sequence[str], only_where: Column) -> DataFrame:
     """Drop rows that satisfy `only_where` and whose keys (NULL matching NULL) occur in `groups`.
 
-    Rows outside `only_where` match nothing and are dealt by their input partition, so they spread evenly; a hot
-    group of the others is split by Spark.
+    Rows outside `only_where` match nothing and are dealt by their other values, so they spread evenly; a hot group
+    of the others is split by Spark.
     """
-    deal = F.when(only_where, F.lit(0)).otherwise(F.lit(1) + F.spark_partition_id()).cast("long")
+    deal = F.when(only_where, F.lit(0).cast("long")).otherwise(_spread(facts, keys))
     left = facts.withColumn("__deal", deal)
     names = [f"__g{i}" for i in range(len(keys))]
     right = groups.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).withColumn("__zero", _zero(*names))

@@ -43,3 +43,58 @@ def reconcile_totals(
     if keep_unclassed:
         kept = kept | F.col(class_column).isNull()
     return df.withColumn("__best", best).filter(kept).drop("__best")
+
+
+def _in_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys (NULL matching NULL) occur in `groups`."""
+    names = [f"__g{i}" for i in range(len(keys))]
+    right = groups.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
+    match = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
+    return df.join(right, match, "left_semi")
+
+
+def _net(df: DataFrame, columns: Sequence[str], change: str) -> DataFrame:
+    """Equal rows added up; those that cancel vanish."""
+    total = df.groupBy(*columns).agg(F.sum(change).alias("__n")).filter(F.col("__n") != 0)
+    return total.withColumn(change, F.signum("__n").cast("int")).withColumn("__n", F.abs("__n").cast("int"))
+
+
+def _repeated(df: DataFrame) -> DataFrame:
+    return df.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")
+
+
+def reconcile_delta(
+    lines: DataFrame,
+    changes: DataFrame,
+    group_keys: Sequence[str],
+    change: str = "change",
+    flag: str = "document_binary",
+    type_column: str | None = "document_type",
+) -> DataFrame:
+    """What `changes` do to the reconciled result, without running it again over all of `lines`.
+
+    `changes` has the columns of `lines` and, in `change`, 1 for a document that comes in and -1 for one that goes; a
+    corrected document is both. Only groups that a change names are looked at: a late invoice retracts its group's
+    provisions, and the last invoice that goes brings them back. Gives the rows that enter (1) and leave (-1) the result of
+    `reconcile`. `lines` are the documents before the changes; a document to remove that is not among them counts for
+    nothing. Filter `lines` to the partitions that the changes can touch, where they are stored by one of the keys.
+    """
+    columns = list(lines.columns)
+    touched = changes.select(*group_keys).distinct()
+    before = _in_groups(lines, touched, group_keys)
+    moves = before.withColumn(change, F.lit(1)).unionByName(changes.select(*columns, F.col(change).cast("int").alias(change)))
+    after = _repeated(_net(moves, columns, change).filter(F.col(change) > 0)).select(*columns)
+    old = reconcile(before, group_keys, flag, type_column)
+    new = reconcile(after, group_keys, flag, type_column)
+    result = list(new.columns)
+    moved = new.withColumn(change, F.lit(1)).unionByName(old.withColumn(change, F.lit(-1)))
+    return _repeated(_net(moved, result, change)).select(*result, change)
+
+
+def apply_delta(stored: DataFrame, delta: DataFrame, group_keys: Sequence[str], change: str = "change") -> DataFrame:
+    """A stored result with the rows of a delta entered and retracted. Rows of untouched groups pass as they are."""
+    columns = list(stored.columns)
+    touched = delta.select(*group_keys).distinct()
+    same = without_matches(stored, touched, group_keys, F.lit(True))
+    moved = _in_groups(stored, touched, group_keys).withColumn(change, F.lit(1)).unionByName(delta.select(*columns, change))
+    return same.unionByName(_repeated(_net(moved, columns, change).filter(F.col(change) > 0)).select(*columns))

@@ -65,6 +65,19 @@ def test_null_keys_of_a_left_join_spread_over_tasks(spark):
     assert sum(tasks) == 9000 and len(tasks) > 3 and max(tasks) < 6000
 
 
+def test_filter_after_a_lookup_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    spark.range(100).selectExpr("id", "id % 7 AS k", "id * 1.5D AS amount", "CAST(id AS STRING) AS v", "'wide' AS w").write.parquet(path)
+    dim = spark.range(7).selectExpr("id AS k", "id + 1 AS label")
+    joined = L.lookup(spark.read.parquet(path), dim, [L.Key("k", "k")], ["label"]).filter("v = '3'").select("id", "label")
+    scan = next(line for line in joined._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert "EqualTo(v,3)" in scan and "w:string" not in scan
+    assert rows(joined) == [(3, 4)]
+    kept = L.without_matches(spark.read.parquet(path), dim.select("k"), ["k"], F.col("amount") > 30).filter("v = '3'")
+    assert "EqualTo(v,3)" in kept._jdf.queryExecution().executedPlan().toString()
+    assert rows(kept, "id") == [(3,)]
+
+
 def test_build_side_is_neither_copied_nor_forced(spark):
     small = literal_table(spark, [(1, "a"), (2, None)], "k int, v string").groupBy("k").agg(F.max("v").alias("v"))
     big = spark.range(10**8).select(F.col("id").alias("k"), F.col("id").alias("v"))
