@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.units import Memo, slices, splitter, unit_text, units_of
+from ledgerloom.llm.units import Memo, distinct_units, ragged, slices, split_all, splitter
 
 BLOCK_IDS = 65_536
 _MAGIC = b"LLBP"
@@ -87,27 +88,40 @@ class LibraryEncoder:
         hidden = [b for b in range(256) if b not in shown]
         self.shown = dict(zip(shown + hidden, [*map(chr, shown), *(chr(256 + i) for i in range(len(hidden)))], strict=True))
 
-    def _piece(self, piece: str) -> bytes:
-        if piece.isascii() and piece[1:].isalpha():  # only the space in front is shown otherwise
-            tokens = self.model.tokenize("\u0120" + piece[1:] if piece[0] == " " else piece.translate(self.shown))
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        joined = "\0".join(pieces)
+        if joined.count("\0") == len(pieces) - 1:
+            shown = joined.encode("utf-8").decode("latin-1").translate(self.shown).split(self.shown[0])
         else:
-            tokens = self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.shown))
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            shown = [p.encode("utf-8").decode("latin-1").translate(self.shown) for p in pieces]
+        tokens = [[t.id for t in self.model.tokenize(p)] for p in shown]
+        ends = (4 * np.cumsum([0, *map(len, tokens)])).tolist()
+        ids = np.fromiter(chain.from_iterable(tokens), "<u4", ends[-1] // 4).tobytes()
+        return [ids[a:b] for a, b in pairwise(ends)]
 
     def _encode(self, units: list[str]) -> Iterator[bytes]:
-        split = [self.pieces(unit_text(u)) for u in units]
-        done = {p: self._piece(p) for p in set().union(*split)}
+        split = split_all(units, self.pieces, self.find)
+        distinct = list(set().union(*split))
+        done = dict(zip(distinct, self._pieces(distinct), strict=True))
         return (done[s[0]] if len(s) == 1 else b"".join([done[p] for p in s]) for s in split)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def texts(self, texts: list[str | None]) -> list[bytes]:
+    def texts(self, texts: list[str | None], units: int = 1 << 18) -> list[bytes]:
+        """Ids of each text; they are put together from those of `units` units at a time."""
         whole = {i: self._whole(t) for i, t in enumerate(texts) if t and any(a in t for a in self.added)}
-        groups = [units_of("" if i in whole else t or "", self.find) for i, t in enumerate(texts)]
-        known = self.memo.encode(groups, self._encode)
-        return [whole[i] if i in whole else b"".join([known[u] for u in g]) for i, g in enumerate(groups)]
+        keys, numbers, counts = distinct_units(["" if i in whole else t or "" for i, t in enumerate(texts)], self.find)
+        known = self.memo.encode(keys, self._encode)
+        forms = list(map(known.__getitem__, keys))
+        sizes = np.fromiter(map(len, forms), np.int64, len(forms)) // 4
+        table, starts = np.frombuffer(b"".join(forms), "<u4"), np.cumsum(sizes) - sizes
+        parts = [numbers[i : i + units] for i in range(0, len(numbers), units)]
+        ids = b"".join([table[ragged(starts[p], sizes[p])].tobytes() for p in parts])
+        ends = np.concatenate(([0], np.cumsum(sizes[numbers])))[np.concatenate(([0], np.cumsum(counts)))]
+        cuts = (4 * ends).tolist()
+        return [whole[i] if i in whole else ids[a:b] for i, (a, b) in enumerate(pairwise(cuts))]
 
 
 _ENCODERS: dict[tuple[str, str, bool], LibraryEncoder] = {}
@@ -147,7 +161,7 @@ def write_token_ids(
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, 4_000_000):
                 for doc_id, ids in zip(part.column(0).to_pylist(), encoder.texts(part.column(1).to_pylist()), strict=True):
                     ids += end
                     at = 0

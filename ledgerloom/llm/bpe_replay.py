@@ -13,13 +13,14 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.units import Memo, slices, splitter, unit_text, units_of
+from ledgerloom.llm.units import Memo, distinct_units, slices, split_all, splitter
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -132,7 +133,7 @@ class ReplayEncoder:
         return out
 
     def _encode(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
-        split = [self.pieces(unit_text(u)) for u in units]
+        split = split_all(units, self.pieces, self.find)
         pieces = list(set().union(*split))
         made = self.replay([p.encode("utf-8") for p in pieces])
         done = {p: (",".join(map(str, ids)), self.decode(ids)) for p, ids in zip(pieces, made, strict=True)}
@@ -148,12 +149,13 @@ class ReplayEncoder:
 
     def texts(self, texts: list[str | None]) -> list[tuple[str, bytes]]:
         """(decimal ids joined by commas, bytes decoded from them) of each text."""
-        groups = [units_of(t or "", self.find) for t in texts]
-        known = self.memo.encode(groups, self._encode)
+        keys, numbers, counts = distinct_units([t or "" for t in texts], self.find)
+        known = self.memo.encode(keys, self._encode)
+        ids, data = zip(*map(known.__getitem__, keys), strict=True) if keys else ((), ())
         out = []
-        for units in groups:
-            found = [known[u] for u in units]
-            out.append((",".join([f[0] for f in found]), b"".join([f[1] for f in found])))
+        for a, b in pairwise([0, *np.cumsum(counts).tolist()]):
+            units = numbers[a:b].tolist()
+            out.append((",".join(map(ids.__getitem__, units)), b"".join(map(data.__getitem__, units))))
         return out
 
 

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice
+from itertools import chain, filterfalse, islice, pairwise
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+
 def splitter(pattern: str) -> tuple[Callable[[str], list[str]], Callable[[str], list[str]]]:
     """Functions from a unit, and from any text, to the pieces that `pattern` cuts it into."""
     find = regex.compile(pattern).findall
@@ -32,16 +34,57 @@ def splitter(pattern: str) -> tuple[Callable[[str], list[str]], Callable[[str],
     return pieces, find
 
 
+def _spaced(text: str) -> str | None:
+    """A text whose units stand between single spaces, None where only the pattern can cut it."""
+    spaced = text.replace("\n", " \n")
+    if spaced[0] == " " or spaced[-1] == " " or "  " in spaced or "\n\n" in text or text[-1] == "\n":
+        return None
+    return spaced if text.replace("\n", "").isprintable() else None
+
+
 def units_of(text: str, find: Callable[[str], list[str]]) -> list[str]:
     """Keys of a text's units, in order. The key of a unit that opens with a space leaves the space out, one that
     opens with a line break is the unit itself, and any other is marked by a leading zero character."""
     if not text:
         return []
-    keys = text.replace("\n", " \n").split(" ")
-    if "" in keys or "\n\n" in text or text[-1] == "\n" or not text.replace("\n", "").isprintable():
+    spaced = _spaced(text)
+    if spaced is None:
         return ["\0" + piece for piece in find(text)]
-    keys[0] = "\0" + keys[0]
-    return keys
+    return ("\0" + spaced).split(" ")
+
+
+def distinct_units(texts: list[str], find: Callable[[str], list[str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct keys in some texts, the number of the key of every unit, and the number of units of each text.
+
+    Arrow cuts and numbers the units of all texts in one go, so that only distinct ones become Python strings.
+    """
+    spaced = [_spaced(t) if t else "" for t in texts]
+    counts = np.array([s.count(" ") + 1 if s else 0 for s in spaced], np.int64)
+    plain = " ".join(["\0" + s for s in spaced if s])
+    keys, numbers = [], np.empty(0, np.int32)
+    if plain:
+        units = pc.split_pattern(pa.array([plain], pa.large_string()), " ").values.dictionary_encode()
+        numbers = units.indices.to_numpy()
+        words = pa.ListArray.from_arrays([0, len(units.dictionary)], units.dictionary.cast(pa.string()))
+        keys = pc.binary_join(words, " ")[0].as_py().split(" ")
+    hard = np.flatnonzero([s is None for s in spaced])
+    if not len(hard):
+        return keys, numbers, counts
+    # Texts that the pattern cuts come after the others, and then back into the order of the texts.
+    cut = [["\0" + piece for piece in find(texts[i])] for i in hard.tolist()]
+    counts[hard] = list(map(len, cut))
+    place = {k: i for i, k in enumerate(keys)}
+    more = [place.setdefault(k, len(place)) for k in chain.from_iterable(cut)]
+    first = np.concatenate((np.setdiff1d(np.arange(len(texts)), hard), hard))
+    starts = np.empty(len(texts), np.int64)
+    starts[first] = np.cumsum(counts[first]) - counts[first]
+    return list(place), np.concatenate((numbers, np.array(more, np.int32)))[ragged(starts, counts)], counts
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of several runs, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def unit_text(key: str) -> str:
@@ -49,6 +92,17 @@ def unit_text(key: str) -> str:
     return key[1:] if key[0] == "\0" else key if key[0] == "\n" else " " + key
 
 
+def split_all(units: list[str], pieces: Callable[[str], list[str]], find: Callable[[str], list[str]]) -> list[list[str]]:
+    """The pieces of each unit. Units that open with a space are cut in one go: only their first pieces do."""
+    spaced = [u for u in units if u[0] not in "\0\n"]
+    cut = find(" " + " ".join(spaced)) if spaced else []
+    starts = [i for i, p in enumerate(cut) if p[0] == " "]
+    if len(starts) != len(spaced):
+        return [pieces(unit_text(u)) for u in units]
+    runs = iter([cut[a:b] for a, b in pairwise([*starts, len(cut)])])
+    return [next(runs) if u[0] not in "\0\n" else pieces(unit_text(u)) for u in units]
+
+
 class Memo(dict):
     """Unit -> encoded form. Holds at most `limit` units: beyond it, units are encoded again where they occur, and
     the next task starts afresh, so that memory stays bounded and the memo follows the texts at hand."""
@@ -56,6 +110,10 @@ class Memo(dict):
     def __init__(self, limit: int):
         super().__init__()
         self.limit = limit
+        self.over: dict = {}  # units of the groups at hand that found no room
+
+    def __missing__(self, unit: str):
+        return self.over[unit]
 
     def start_task(self) -> None:
         """Call at the start of a task. Units make millions of small objects and no cycles, so the worker looks for
@@ -64,20 +122,15 @@ class Memo(dict):
         if len(self) >= self.limit:
             self.clear()
 
-    def encode(self, groups: list[list[str]], encode: Callable[[list[str]], Iterable]) -> dict:
-        """A mapping that has every unit of `groups`."""
-        wanted = set().union(*groups)
-        missing = [u for u in wanted if u not in self]
-        if not missing:
-            return self
-        made = dict(zip(missing, encode(missing), strict=True))
-        room = self.limit - len(self)
-        if len(made) <= room:
-            self.update(made)
-            return self
-        table = made | {u: self[u] for u in wanted if u not in made}
-        self.update(islice(made.items(), max(0, room)))
-        return table
+    def encode(self, units: Iterable[str], encode: Callable[[list[str]], Iterable]) -> dict:
+        """A mapping that has every one of some distinct units, until the next call."""
+        self.over = {}
+        missing = list(filterfalse(self.__contains__, units))
+        if missing:
+            made = zip(missing, encode(missing), strict=True)
+            self.update(islice(made, max(0, self.limit - len(self))))
+            self.over = dict(made)
+        return self
 
 
 def slices(batch: pa.RecordBatch, column: int, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
