@@ -1,108 +1,122 @@
 """Labelled pages from which the potentials of the page model are counted.
 
 Written for this purpose: common page layouts with filler text. data-label marks content and other elements; an
-element without a label has its parent's.
+element without a label has its parent's. Content and all other parts draw the lengths of their paragraphs from the same
+few values, so that the amount of text alone says little about its part in the page.
 """
 
 from __future__ import annotations
 
+from random import Random
+
 _WORDS = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua".split()
+_LENGTHS = (1, 2, 4, 8, 15, 30, 60, 120, 250)
+
+# Element and names of the parts that are not content.
+_PARTS = {
+    "menu": ("nav", ("nav", "navbar", "menu", "breadcrumbs", "pagination", "toc", "main-nav")),
+    "header": ("header", ("header", "masthead", "banner", "topbar", "site-header")),
+    "footer": ("footer", ("footer", "copyright", "colophon", "site-footer", "legal")),
+    "side": ("aside", ("sidebar", "side", "widget", "related", "recommended", "popular-posts")),
+    "advert": ("div", ("ad", "ads sponsored", "advert", "promo", "advertisement")),
+    "notice": ("div", ("cookie-notice", "cookie-banner", "alert", "newsletter", "popup", "consent", "subscribe")),
+    "comments": ("section", ("comments", "discussion", "replies", "respond", "comment-list")),
+    "social": ("div", ("share", "social", "share-buttons", "follow")),
+    "form": ("form", ("search", "login", "contact", "signup")),
+}
+_HOLDERS = (
+    ("<article {}>", "</article>"), ("<article {}>", "</article>"), ("<main {}><article>", "</article></main>"), ("<main><article {}>", "</article></main>"),
+    ("<div class='content' {}>", "</div>"), ("<div id='main' {}><section>", "</section></div>"),
+    ("<div class='post-body entry' {}><div>", "</div></div>"), ("<div class='wrapper'><main {}>", "</main></div>"),
+    ("<div {}>", "</div>"), ("<section {}>", "</section>"), ("<article class='post' {}><div class='entry-content'>", "</div></article>"),
+)
+_WRAPPERS = (("", ""), ("<div>", "</div>"), ("<div class='container'>", "</div>"), ("<div class='layout with-sidebar'>", "</div>"), ("<div id='page'><div class='row'>", "</div></div>"))
 
 
-def _text(n: int, at: int = 0) -> str:
-    return " ".join(_WORDS[(at + i) % len(_WORDS)] for i in range(n)).capitalize() + "."
+class _Writer:
+    def __init__(self, seed: int):
+        self.r = Random(seed)
 
+    def text(self, most: int = 250) -> str:
+        n = self.r.choice([k for k in _LENGTHS if k <= most])
+        at = self.r.randrange(len(_WORDS))
+        return " ".join(_WORDS[(at + i) % len(_WORDS)] for i in range(n)).capitalize() + "."
 
-def _links(n: int) -> str:
-    return "".join(f'<li><a href="/{i}">{_WORDS[i % len(_WORDS)]}</a></li>' for i in range(n))
+    def items(self, linked: bool, most: int = 4) -> str:
+        tag = self.r.choice(("ul", "ul", "ol"))
+        rows = [f"<a href='/{i}'>{self.text(most)}</a>" if linked else self.text(most) for i in range(self.r.randrange(2, 9))]
+        return f"<{tag}>" + "".join(f"<li>{row}</li>" for row in rows) + f"</{tag}>"
 
+    def blocks(self, n: int) -> str:
+        """Paragraphs, headings, lists, quotes and the like, of any length."""
+        kinds = (
+            lambda: f"<p>{self.text()}</p>", lambda: f"<p>{self.text()}</p>", lambda: f"<p>{self.text()}</p>",
+            lambda: f"<p>{self.text()} <a href='/x'>ut labore</a> {self.text()}</p>", lambda: f"<h2>{self.text(8)}</h2>",
+            lambda: f"<div>{self.text()}</div>", lambda: self.items(False, 30), lambda: f"<div><p>{self.text()}</p><p>{self.text()}</p></div>",
+            lambda: f"<blockquote><p>{self.text()}</p></blockquote>", lambda: f"<h3>{self.text(8)}</h3>",
+        )
+        return "".join(self.r.choice(kinds)() for _ in range(n))
 
-def _body(kind: int) -> str:
-    """Content blocks: headings, paragraphs of various lengths, lists, quotes, tables, figures."""
-    if kind % 5 == 0:  # very short articles
-        few = (1, 3, 5, 8)[kind // 5 % 4]
-        return f"<h1>{_text(few)}</h1><p>{_text(few, 3)}</p>" + f"<p>{_text(few)}</p>" * (kind // 5 % 3)
-    parts = [f"<h1>{_text(7, kind)}</h1>", f"<p>{_text(60, kind)}</p>", f"<p>{_text(3, kind)}</p>", f"<p>{_text(25, kind)} <a href='/x'>ut labore</a> {_text(30)}</p>", f"<p>{_text(120)}</p>"]
-    if kind % 4 == 2:
-        parts += [f"<ul><li>{_text(3)}</li><li>{_text(2)}</li><li>{_text(4)}</li><li>{_text(2)}</li></ul>", f"<div>{_text(20)}</div>", f"<p>{_text(35)}</p>"]
-    if kind % 2:
-        parts += [f"<h2>{_text(4)}</h2><ul><li>{_text(12)}</li><li>{_text(5)}</li></ul>", f"<p>{_text(9)}</p>"]
-    if kind % 3 == 1:
-        parts += [f"<blockquote><p>{_text(30)}</p></blockquote>", f"<pre>{_text(15)}</pre>", f"<h3>{_text(3)}</h3><ol><li>{_text(20)}</li></ol>"]
-    if kind % 3 == 2:
-        parts += [f"<table><tr><th>{_text(1)}</th><td>{_text(4)}</td></tr></table>", f"<figure><figcaption>{_text(8)}</figcaption></figure>", f"<div><p>{_text(40)}</p></div>"]
-    return "".join(parts)
+    def content(self) -> str:
+        rare = (
+            lambda: "", lambda: "", lambda: f"<table><tr><th>{self.text(4)}</th><td>{self.text(30)}</td></tr></table>",
+            lambda: f"<figure><figcaption>{self.text(30)}</figcaption></figure>", lambda: f"<pre>{self.text()}</pre>",
+            lambda: f"<dl><dt>{self.text(4)}</dt><dd>{self.text(60)}</dd></dl>", lambda: f"<section>{self.blocks(2)}</section>",
+        )
+        return f"<h1>{self.text(15)}</h1>" + self.blocks(self.r.randrange(1, 9)) + self.r.choice(rare)()
 
+    def part(self, label: str = "") -> str:
+        """One part that is not content, named by its element, by class, id or role, or by both."""
+        kind = self.r.choice(list(_PARTS))
+        tag, names = _PARTS[kind]
+        name = self.r.choice(names)
+        named = self.r.choice((f"class='{name}'", f"id='{name.split()[0]}'", f"class='{name} x1'"))
+        plain = tag in ("nav", "header", "footer", "aside", "form")
+        tag, named = self.r.choice(((tag, ""), (tag, ""), (tag, named), ("div", named))) if plain else (self.r.choice((tag, "div", "section")), named)
+        if kind == "header" and tag == "div" and self.r.random() < 0.3:
+            named = "role='banner'"
+        inner = {
+            "menu": lambda: self.r.choice((self.items(True), self.items(True, 8), self.items(False), f"<a href='/'>{self.text(2)}</a> <a href='/a'>{self.text(2)}</a>")),
+            "comments": self.comments, "social": lambda: self.r.choice((self.items(True), self.items(False), self.text(8))),
+            "side": lambda: self.r.choice((self.blocks(2), self.items(True) + self.blocks(1), f"<h3>{self.text(4)}</h3>" + self.items(True), self.cards())),
+            "form": lambda: self.blocks(1) + f"<label>{self.text(4)}</label><input name='q'>",
+        }.get(kind, lambda: self.r.choice((self.blocks(1), self.blocks(3), self.text(), f"<h3>{self.text(4)}</h3>" + self.items(True), self.items(True) + self.blocks(1))))
+        return f"<{tag} {named} {label}>{inner()}</{tag}>"
 
-# Openings and closings of the element that holds the article.
-_HOLDERS = (
-    ("<article data-label='content'>", "</article>"),
-    ("<main data-label='content'><article>", "</article></main>"),
-    ("<div class='content' data-label='content'>", "</div>"),
-    ("<div id='main' data-label='content'><section>", "</section></div>"),
-    ("<div class='post-body entry' data-label='content'><div>", "</div></div>"),
-    ("<div class='wrapper'><main data-label='content'>", "</main></div>"),
-    ("<div data-label='content'>", "</div>"),
-    ("<section data-label='content'>", "</section>"),
-)
-
-# Parts around the article, and inside it, that are not content.
-_BEFORE = (
-    lambda: f"<nav><ul>{_links(6)}</ul></nav>",
-    lambda: f"<header><div class='logo'>{_text(2)}</div><nav class='menu'><ul>{_links(4)}</ul></nav></header>",
-    lambda: f"<div id='nav' class='navbar'><ul>{_links(8)}</ul></div>",
-    lambda: f"<div class='ad'>{_text(8)}</div>",
-    lambda: f"<div class='ads sponsored'><p>{_text(14)}</p></div>",
-    lambda: f"<div class='cookie-notice'><p>{_text(25)}</p><form><label>{_text(2)}</label></form></div>",
-    lambda: f"<form class='search'><p>{_text(2)}</p></form>",
-    lambda: f"<div class='breadcrumbs'><a href='/'>{_text(1)}</a> <a href='/a'>{_text(1)}</a></div>",
-    lambda: f"<header><h1>{_text(2)}</h1><p>{_text(6)}</p></header>",
-    lambda: f"<div role='banner'><p>{_text(9)}</p></div>",
-    lambda: f"<div class='alert'>{_text(12)}</div>",
-)
-_AFTER = (
-    lambda: f"<footer><p>{_text(8)}</p></footer>",
-    lambda: f"<footer>{_text(9)}</footer>",
-    lambda: f"<footer><ul>{_links(5)}</ul><p>{_text(15)}</p></footer>",
-    lambda: f"<aside><h3>{_text(2)}</h3><ul>{_links(5)}</ul></aside>",
-    lambda: f"<aside class='sidebar'><p>{_text(30)}</p></aside>",
-    lambda: f"<div class='sidebar'><h3>{_text(2)}</h3><p>{_text(20)}</p><ul>{_links(4)}</ul></div>",
-    lambda: f"<section class='comments'><h2>{_text(1)}</h2><div class='comment'><p>{_text(22)}</p></div><div class='comment'><p>{_text(45)}</p></div></section>",
-    lambda: f"<div id='comments'><ol><li><p>{_text(18)}</p></li><li><p>{_text(60)}</p></li></ol><form><p>{_text(4)}</p></form></div>",
-    lambda: f"<form><p>{_text(5)}</p><label>{_text(2)}</label></form>",
-    lambda: f"<div class='related'><h3>{_text(2)}</h3><ul>{_links(6)}</ul></div>",
-    lambda: f"<div class='newsletter'><h3>{_text(3)}</h3><p>{_text(14)}</p></div>",
-    lambda: f"<div class='share'><ul>{_links(4)}</ul></div>",
-    lambda: f"<div class='footer'><p>{_text(12)}</p></div>",
-)
-_INSIDE = (
-    lambda: "",
-    lambda: "",
-    lambda: f"<div class='ad' data-label='other'>{_text(9)}</div>",
-    lambda: f"<aside data-label='other'><p>{_text(16)}</p></aside>",
-    lambda: f"<section class='comments' data-label='other'><p>{_text(30)}</p></section>",
-    lambda: f"<div id='comments' data-label='other'><h3>{_text(2)}</h3><div class='comment'><p>{_text(12)}</p></div></div>",
-    lambda: f"<div class='notice' data-label='other'><p>{_text(15)}</p></div>",
-    lambda: f"<nav data-label='other'><ul>{_links(4)}</ul></nav>",
-    lambda: f"<div class='share' data-label='other'><ul>{_links(3)}</ul></div>",
-    lambda: f"<form data-label='other'><p>{_text(6)}</p></form>",
-    lambda: f"<footer data-label='other'><p>{_text(8)}</p></footer>",
-)
-
-
-def labelled_pages(n: int = 1320) -> list[str]:
-    """Pages that combine the parts above in turn, pages whose blocks stand in the body beside other parts, and pages
-    that are nothing but content, marked by a leading comment."""
-    pages = []
-    for i in range(n):
-        start, end = _HOLDERS[i % len(_HOLDERS)]
-        before = _BEFORE[i % len(_BEFORE)]() + _BEFORE[(i // 3 + 4) % len(_BEFORE)]()
-        after = _AFTER[i % len(_AFTER)]() + _AFTER[(i // 2 + 5) % len(_AFTER)]()
-        content = start + _body(i) + _INSIDE[i % len(_INSIDE)]() + end
-        if i % 6 == 5:
-            content = _body(i + 1).replace("<p>", "<p data-label='content'>").replace("<h1>", "<h1 data-label='content'>")
-        page = f"<html><head><title>{_text(3)}</title></head><body>{before}{content}{after}</body></html>"
-        if i % 4 == 3:
-            page = "<!--content-->" + (_body(i // 4), _text(90), f"<html><body>{_body(i // 4)}</body></html>", f"<div><div>{_body(i // 4)}</div></div>")[i // 4 % 4]
-        pages.append(page.replace("data-label='content'", 'data-label="content"').replace("data-label='other'", 'data-label="other"'))
-    return pages
+    def comments(self) -> str:
+        one = self.r.choice(("<div class='comment'>{}</div>", "<div class='reply'><div>{}</div></div>", "<p>{}</p>", "<article class='comment'>{}</article>", "<div>{}</div>"))
+        rows = [one.format(self.text() if one.startswith("<p") else self.blocks(1)) for _ in range(self.r.randrange(1, 5))]
+        return self.r.choice(("", f"<h2>{self.text(2)}</h2>")) + "".join(rows)
+
+    def cards(self) -> str:
+        """Teasers of other articles, each an article element."""
+        card = lambda: f"<article><h3><a href='/x'>{self.text(8)}</a></h3><p>{self.text(60)}</p></article>"
+        return "".join(card() for _ in range(self.r.randrange(1, 5)))
+
+    def page(self) -> str:
+        other, own = "data-label='other'", "data-label='content'"
+        inside = [self.part(other) for _ in range(self.r.choice((0, 0, 1, 2)))]
+        first, rest = self.content(), "".join(inside)
+        article = first + rest if self.r.random() < 0.7 else first + rest + self.blocks(2)
+        style = self.r.random()
+        if style < 0.12:  # nothing but content
+            bare = self.r.choice((self.content(), self.text(), f"<html><body>{self.content()}</body></html>", f"<div><div>{self.content()}</div></div>"))
+            return "<!--content-->" + bare
+        if style < 0.22:  # blocks right in the body
+            article = "".join(f"<{t} {own}>{self.text()}</{t}>" for t in ("h1", *("p",) * self.r.randrange(1, 8)))
+        else:
+            start, end = self.r.choice(_HOLDERS)
+            article = start.format(own) + article + end
+        before = "".join(self.part() for _ in range(self.r.randrange(4)))
+        after = "".join(self.part() for _ in range(self.r.randrange(5)))
+        start, end = self.r.choice(_WRAPPERS)
+        body = self.r.choice(("<body>", "<body>", "<body class='single-post comments-open'>"))
+        return f"<html><head><title>{self.text(8)}</title></head>{body}{start}{before}{article}{after}{end}</body></html>"
+
+
+def labelled_pages(n: int = 3000, seed: int = 1) -> list[str]:
+    """Pages that combine the layouts above at random, pages whose blocks stand in the body beside other parts, and
+    pages that are nothing but content, marked by a leading comment."""
+    writer = _Writer(seed)
+    pages = [writer.page() for _ in range(n)]
+    return [p.replace("data-label='content'", 'data-label="content"').replace("data-label='other'", 'data-label="other"') for p in pages]

@@ -1,8 +1,8 @@
 """Main text of web pages by a tree-structured graphical model.
 
 The elements of a page that make blocks form a tree. Each has a hidden label, content or not; potentials connect the
-labels of parent and child, and each element's tag, name hints, amount of text and share of link text depend on its
-label. Sum-product messages go up and down the tree once and give every element's exact content marginal. All
+labels of parent and child, and each element's tag, name hints, amount of text, share of link text and the nearest named
+parts it stands in depend on its label. Sum-product messages go up and down the tree once and give every element's exact content marginal. All
 potentials are counted, with smoothing, on labelled pages (`html_labelled.py`).
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from math import exp, log
@@ -48,6 +48,7 @@ _HINTS = {
     "content": "article content main post entry story body text blog prose page",
 }
 _HINT_OF = {word: hint for hint, words in _HINTS.items() for word in words.split()}
+_PARTS = frozenset("nav header footer aside form article main".split())
 _STRONG = ("advert", "comments", "notice", "menu", "side", "footer", "form", "header", "social", "content")
 
 
@@ -59,6 +60,7 @@ class Element:
     label: str | None = None
     chars: int = 0
     linked: int = 0
+    marks: tuple[str, str] = ("none", "none")  # the part of the page it is or stands in, and the part around that
 
 
 @dataclass
@@ -79,14 +81,21 @@ def _hint(attributes: str) -> str:
     return next((h for h in _STRONG if h in found), "none")
 
 
+def _marks(tag: str, hint: str, parent: Element) -> tuple[str, str]:
+    """An element that has a hint or a telling tag is a part of its own; classes of the whole page say nothing."""
+    own = "none" if tag in ("html", "body") else hint if hint != "none" else tag if tag in _PARTS else "none"
+    return parent.marks if own in ("none", parent.marks[0]) else (own, parent.marks[0])
+
+
 def parse(html: str) -> Page:
-    """Element tree and text blocks of a page. Missing end tags are implied as browsers do for paragraphs, items and
+    """Element tree and text blocks of a page, in time linear in its length. Missing end tags are implied as browsers do for paragraphs, items and
     cells; an end tag without a start is ignored; a cut-off tag or comment ends the page. A line break inside a
     block is white space."""
     elements = [Element("page", -1, "none")]
     open_: list[tuple[str, int]] = [("page", 0)]  # (tag, element); hidden ones carry their parent's element
     blocks: list[tuple[int, str]] = []
     text: list[str] = []
+    depths: defaultdict[str, list[int]] = defaultdict(list)  # where each tag is open
     linked = hidden = 0
     in_link = False
 
@@ -105,7 +114,9 @@ def parse(html: str) -> Page:
     def close(depth: int) -> None:
         nonlocal hidden, in_link
         flush()
-        hidden -= sum(t in _HIDDEN for t, _ in open_[depth:])
+        for t, _ in open_[depth:]:
+            depths[t].pop()
+            hidden -= t in _HIDDEN
         del open_[depth:]
         in_link = False
 
@@ -127,9 +138,8 @@ def parse(html: str) -> Page:
             if tag == "a":
                 in_link = False
             if tag not in _INLINE:
-                depth = next((d for d in range(len(open_) - 1, 0, -1) if open_[d][0] == tag), 0)
-                if depth:
-                    close(depth)
+                if depths[tag]:
+                    close(depths[tag][-1])
             continue
         if tag in _INLINE:
             if tag == "br":
@@ -146,20 +156,21 @@ def parse(html: str) -> Page:
         if open_[-1][0] == "p":
             close(len(open_) - 1)
         if tag in _CLOSES:
-            for d in range(len(open_) - 1, 0, -1):
-                if open_[d][0] in _CLOSES[tag]:
-                    close(d)
-                    break
-                if open_[d][0] in _SCOPES and open_[d][0] not in _CLOSES[tag]:
-                    break
+            latest = lambda tags: max((depths[t][-1] for t in tags if depths[t]), default=0)
+            ended = latest(_CLOSES[tag])
+            if ended > latest(_SCOPES - _CLOSES[tag]):
+                close(ended)
         if tag == "body" and hidden:  # a head left open
             close(next(d for d, (t, _) in enumerate(open_) if t in _HIDDEN))
         if tag in _HIDDEN:
             hidden += 1
+            depths[tag].append(len(open_))
             open_.append((tag, open_[-1][1]))
         else:
             label = re.search(r"data-label=\"(\w+)\"", token[3]) if "data-label" in token[3] else None
-            elements.append(Element(tag, open_[-1][1], _hint(token[3]), label and label[1]))
+            parent, hint = open_[-1][1], _hint(token[3])
+            elements.append(Element(tag, parent, hint, label and label[1], marks=_marks(tag, hint, elements[parent])))
+            depths[tag].append(len(open_))
             open_.append((tag, len(elements) - 1))
     flush()
     return Page(elements, blocks)
@@ -170,7 +181,8 @@ def _amount(n: int) -> str:
 
 
 def _observations(page: Page) -> list[tuple[str, ...]]:
-    """Per element: tag with the share of link text, hint, and amounts of text of its own and with all it contains."""
+    """Per element: tag with the share of link text, hint, amounts of text of its own and with all it contains, and the
+    parts of the page around it."""
     chars, linked = [e.chars for e in page.elements], [e.linked for e in page.elements]
     for i in range(len(page.elements) - 1, 0, -1):
         chars[page.elements[i].parent] += chars[i]
@@ -178,7 +190,7 @@ def _observations(page: Page) -> list[tuple[str, ...]]:
     out = []
     for e, n, k in zip(page.elements, chars, linked, strict=True):
         share = "no" if not k else "some" if k < 0.5 * n else "most"
-        out.append((f"tag {e.tag} {share}", f"hint {e.hint}", f"amount {_amount(n)}", f"own {_amount(e.chars)}"))
+        out.append((f"tag {e.tag} {share}", f"hint {e.hint}", f"amount {_amount(n)}", f"own {_amount(e.chars)}", f"in {e.marks[0]}", f"around {e.marks[1]}"))
     return out
 
 
