@@ -22,8 +22,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 LIBRARY_VOCABULARY = "byte_bpe_50k.json"
 RANK_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
-# Rows carry whole texts, so fewer of them than Spark's default go to a Python worker at a time.
+# Rows carry whole texts, so fewer of them than Spark's default go to a Python worker at a time, and no more than these
+# bytes, however long they are (a longer row goes alone).
 ROWS_PER_BATCH = 2_000
+BYTES_PER_BATCH = 8 << 20
 
 # Rules of the URL query (host, path, verdict).
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -31,8 +33,9 @@ URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the folder. Python workers of a local session also find this package when the session was started
-    elsewhere; on a cluster the package is shipped with the job. Sets the session's rows per Arrow batch."""
+    elsewhere; on a cluster the package is shipped with the job. Sets the session's rows and bytes per Arrow batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -51,28 +51,47 @@ def build_leaves(x: np.ndarray, leaf_rows: int) -> tuple[np.ndarray, list[tuple[
     return np.array(points, np.int64), leaves
 
 
-def search_tree(x: np.ndarray, queries: np.ndarray, s: SearchSettings, largest: float, k: int) -> np.ndarray:
-    """Row numbers of the k best rows per query, -1 where there are fewer; `x` original vectors, `largest` M^2."""
+def _best(x: np.ndarray, queries: np.ndarray, who: np.ndarray, rows: np.ndarray, names: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of (query, row) pairs the k with the largest product per query, ties to the smaller name, in this order."""
+    cuts = range(65_536, max(len(who), 1), 65_536)
+    parts = [(x[r] * queries[w]).sum(axis=1) for w, r in zip(np.split(who, cuts), np.split(rows, cuts), strict=True)]
+    order = np.lexsort((names[rows], -np.concatenate(parts), who))
+    who, rows = who[order], rows[order]
+    place = np.arange(len(who)) - np.searchsorted(who, who)
+    return who[place < k], rows[place < k]
+
+
+def search_tree(x: np.ndarray, queries: np.ndarray, s: SearchSettings, largest: float, k: int, names: np.ndarray | None = None) -> np.ndarray:
+    """Row numbers of the k best rows per query, -1 where there are fewer; `x` original vectors, `largest` M^2. Ties go
+    to the smaller of `names`, by default the row number.
+
+    Visiting the leaves gives the k-th best product of each query, up to rounding. All rows that reach it less a margin
+    for rounding are then ordered by one and the same sum of products, so that no tie is decided by the way leaves are
+    visited.
+    """
+    names = np.arange(len(x)) if names is None else names
     lift = np.sqrt(np.maximum(largest - (x * x).sum(axis=1), 0.0))
     lifted = np.column_stack((x, lift))
     points, leaves = build_leaves(lifted, s.leaf_rows)
     own = (queries * queries).sum(axis=1)
     best = np.full((len(queries), k), -np.inf)
-    place = np.full((len(queries), k), -1, np.int64)
     low = np.zeros((len(queries), len(leaves)))
     if len(points):
         to = np.sqrt(np.maximum(own[:, None] + largest - 2 * queries @ x[points].T, 0.0))
         for j, (_, above) in enumerate(leaves):
             for p, near, far in above:
                 np.maximum(low[:, j], np.maximum(near - to[:, p], to[:, p] - far), out=low[:, j])
+    visited = np.zeros((len(leaves), len(queries)), bool)
 
     def visit(j: int, who: np.ndarray) -> None:
-        rows = leaves[j][0]
-        scores = np.concatenate((best[who], queries[who] @ x[rows].T), axis=1)
-        places = np.concatenate((place[who], np.broadcast_to(rows, (len(who), len(rows)))), axis=1)
-        top = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-        best[who] = np.take_along_axis(scores, top, axis=1)
-        place[who] = np.take_along_axis(places, top, axis=1)
+        visited[j, who] = True
+        scores = np.concatenate((best[who], queries[who] @ x[leaves[j][0]].T), axis=1)
+        best[who] = -np.partition(-scores, k - 1, axis=1)[:, :k]
+
+    def reach(least: np.ndarray) -> np.ndarray:
+        """Distance within which a row reaches a product; unbounded where there are not yet k rows."""
+        known = np.where(np.isfinite(least), least, 0.0)
+        return np.where(np.isfinite(least), np.sqrt(np.maximum(own + largest - 2 * known, 0.0)), np.inf)
 
     slack = 1e-6 * np.sqrt(largest)  # distances are rounded, the more so the shorter they are
     first = low.argmin(axis=1)
@@ -81,11 +100,25 @@ def search_tree(x: np.ndarray, queries: np.ndarray, s: SearchSettings, largest:
         if len(who):
             visit(j, who)
     for j in np.argsort(low.mean(axis=0), kind="stable").tolist():
-        worst = best.min(axis=1)
-        reach = np.where(np.isfinite(worst), np.sqrt(np.maximum(own + largest - 2 * np.where(np.isfinite(worst), worst, 0.0), 0.0)), np.inf)
-        who = np.flatnonzero((first != j) & (low[:, j] * s.factor <= reach + slack))
+        who = np.flatnonzero((first != j) & (low[:, j] * s.factor <= reach(best.min(axis=1)) + slack))
         if len(who):
             visit(j, who)
+
+    margin = 4 * x.shape[1] * np.finfo(float).eps * np.sqrt(largest * own)
+    least = best.min(axis=1) - margin
+    near = low <= (reach(least) + slack)[:, None]
+    found = (np.empty(0, np.int64), np.empty(0, np.int64))
+    for j, (rows, _) in enumerate(leaves):
+        who = np.flatnonzero(visited[j] & near[:, j])
+        for at in range(0, len(who), 1024):
+            some = who[at : at + 1024]
+            q, r = np.nonzero(queries[some] @ x[rows].T >= least[some, None])
+            found = tuple(np.concatenate((old, new)) for old, new in zip(found, (some[q], rows[r]), strict=True))
+            if len(found[0]) > 4 * k * len(queries) + 100_000:
+                found = _best(x, queries, *found, names, k)
+    who, rows = _best(x, queries, *found, names, k)
+    place = np.full((len(queries), k), -1, np.int64)
+    place[who, np.arange(len(who)) - np.searchsorted(who, who)] = rows
     return place
 
 
@@ -131,7 +164,8 @@ def nearest(vectors: DataFrame, is_query: Column, settings: SearchSettings = Sea
             cut = np.searchsorted(which.ravel()[order], np.arange(len(distinct) + 1))
             members = [np.unique(ids[order[a:b]])[: s.k + 1] for a, b in zip(cut[:-1], cut[1:], strict=True)]
             k = min(s.k + 1, len(distinct))
-            for i, found in enumerate(search_tree(distinct, q, s, largest, k).tolist()):
+            smallest = np.array([m[0] for m in members])
+            for i, found in enumerate(search_tree(distinct, q, s, largest, k, smallest).tolist()):
                 found = [f for f in found if f >= 0]
                 scores = (distinct[found] * q[i]).sum(axis=1).tolist()
                 near = [(-score, v) for f, score in zip(found, scores, strict=True) for v in members[f].tolist() if v != q_ids[i]]

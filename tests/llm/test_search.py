@@ -26,6 +26,32 @@ def test_factor_one_is_exact_over_shards_and_blocks(spark):
     assert sorted(map(tuple, found)) == brute(rows, 5)
 
 
+@pytest.mark.parametrize("values", ["small integers", "many equal products", "few signs"])
+def test_ties_between_different_vectors_go_to_the_smaller_id(spark, values):
+    """More equal products at the border than are asked for, over several shards, blocks and leaves."""
+    r = np.random.default_rng(4)
+    if values == "many equal products":
+        x = np.array([[1.0, i] for i in range(400)])
+        x[0] = x[20] = [1.0, 0.0]
+    else:
+        x = r.integers(-1, 2, (900, 8)).astype(float) * (1 if values == "few signs" else r.integers(1, 3, (900, 1)))
+    ids = r.permutation(len(x)) if values != "many equal products" else np.arange(len(x))
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, x, strict=True) if v.any()]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    s = SearchSettings(k=20, shard_rows=200, block_queries=9, leaf_rows=16)
+    found = nearest(df, F.col("vec_id") % 20 == 0, s).select("query_id", "rank", "vec_id").collect()
+    assert sorted(map(tuple, found)) == brute(rows, 20)
+
+
+def test_ties_in_one_tree():
+    r = np.random.default_rng(5)
+    x = np.unique(r.integers(-1, 2, (2000, 8)).astype(float), axis=0)
+    x = r.permutation(x[x.any(axis=1)])
+    scores = x[:100] @ x.T
+    true = np.lexsort((np.broadcast_to(np.arange(len(x)), scores.shape), -scores), axis=1)[:, :21]
+    assert search_tree(x, x[:100], SearchSettings(), 8 * (1 + 1e-9), 21).tolist() == true.tolist()
+
+
 def test_recall_of_the_default_factor():
     r = np.random.default_rng(2)
     x = r.normal(size=(4000, 32)) + 3 * r.normal(size=(12, 32))[r.integers(0, 12, 4000)]
