@@ -105,15 +105,21 @@ def _separator(gram: np.ndarray, sign: np.ndarray, s: LanguageSettings) -> np.nd
 def fit(examples: list[tuple[str, str]], settings: LanguageSettings = LanguageSettings(), families: Mapping[str, str] = FAMILIES) -> LanguageModel:
     """Model of (text, language) examples; those without a letter are left out. No examples give a model that
     leaves everything undetermined, one language a model that always answers it."""
-    s, rows, labels = settings, [], []
-    for text, lang in examples:
-        counts, n = np.zeros(1 << s.bits), 0
-        for features, letters in _features(text, s.bits, s.piece):
-            counts += np.bincount(features, minlength=1 << s.bits)
-            n += letters
-        if n:
-            rows.append((counts * (10.0 / n)).astype(np.float32))
-            labels.append(lang)
+    s = settings
+    seen = [(x, lang) for x, lang in ((_example(text, s), lang) for text, lang in examples) if x is not None]
+    return _fitted([x for x, _ in seen], [lang for _, lang in seen], s, families)
+
+
+def _example(text: str, s: LanguageSettings) -> np.ndarray | None:
+    """Features of a training text by its letters, None without a letter."""
+    counts, n = np.zeros(1 << s.bits), 0
+    for features, letters in _features(text, s.bits, s.piece):
+        counts += np.bincount(features, minlength=1 << s.bits)
+        n += letters
+    return (counts * (10.0 / n)).astype(np.float32) if n else None
+
+
+def _fitted(rows: list[np.ndarray], labels: list[str], s: LanguageSettings, families: Mapping[str, str]) -> LanguageModel:
     langs = np.array(labels, dtype=object)
     family = np.array([families.get(x, x) for x in labels], dtype=object)
     tree = {f: tuple(sorted(set(langs[family == f]))) for f in sorted(set(family))}
@@ -167,8 +173,8 @@ def has_letter(text: Column) -> Column:
 
 def train(docs: DataFrame, settings: LanguageSettings = LanguageSettings(), families: Mapping[str, str] = FAMILIES) -> LanguageModel:
     """Fit every language on a bounded sample of rows that have it, a letter and an id that is not held out. The first
-    pass counts ids per language, which bounds the hashes of the second; the driver receives `per_language` texts of
-    each language at most."""
+    pass counts ids per language, which bounds the hashes of the second. Texts become features where they are; the driver
+    receives the features of `per_language` texts of each language at most, whatever the length of these texts."""
     s = settings
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & has_letter(F.col("text")))
     usable = usable.select("lang", "doc_id", "text", F.xxhash64("doc_id").alias("place"))
@@ -178,8 +184,27 @@ def train(docs: DataFrame, settings: LanguageSettings = LanguageSettings(), fami
     near = usable.join(F.broadcast(sizes), "lang").where(low).select("lang", "doc_id", "text", "place").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", F.xxhash64("text"), "text"))
     picked = near.withColumn("rank", rank).where(F.col("rank") <= s.per_language)
-    rows = picked.select("doc_id", "text", "lang").orderBy("doc_id", "lang", F.xxhash64("text")).collect()
-    return fit([(r["text"], r["lang"]) for r in rows], s, families)
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [_example(t.as_py(), s) for t in batch.column(3)]
+            used = [np.flatnonzero(x) if x is not None else np.empty(0, np.int64) for x in made]
+            at = [u.astype("<u4").tobytes() for u in used]
+            values = [x[u].astype("<f4").tobytes() if x is not None else b"" for x, u in zip(made, used, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in range(3)), pa.array(at, pa.binary()), pa.array(values, pa.binary())],
+                names=["doc_id", "lang", "mark", "at", "value"],
+            )
+
+    texts = picked.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.xxhash64("text").alias("mark"), F.col("text").cast("string").alias("text"))
+    found = texts.mapInArrow(features, "doc_id long, lang string, mark long, at binary, value binary").where("length(at) > 0")
+    rows = []
+    examples = sorted(found.collect(), key=lambda r: (r["doc_id"], r["lang"], r["mark"]))
+    for r in examples:
+        x = np.zeros(1 << s.bits, np.float32)
+        x[np.frombuffer(r["at"], "<u4")] = np.frombuffer(r["value"], "<f4")
+        rows.append(x)
+    return _fitted(rows, [r["lang"] for r in examples], s, families)
 
 
 def identify(docs: DataFrame, model: LanguageModel, settings: LanguageSettings = LanguageSettings()) -> DataFrame:
@@ -202,3 +227,18 @@ def identify(docs: DataFrame, model: LanguageModel, settings: LanguageSettings =
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(run, schema)
+
+
+def predicted(docs: DataFrame, model: LanguageModel, name: str = "__judged", settings: LanguageSettings = LanguageSettings()) -> DataFrame:
+    """`docs` with one more column, a struct of lang_pred and score as in `identify`. Only the texts go to the Python
+    workers, and only the predictions come back."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("lang_pred string, score double")
+    def judge(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            made = [predict(t.as_py(), shared.value, settings) for t in batch]
+            columns = [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())]
+            yield pa.StructArray.from_arrays(columns, ["lang_pred", "score"])
+
+    return docs.withColumn(name, judge(F.col("text").cast("string")))

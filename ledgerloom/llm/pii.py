@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
@@ -35,6 +36,7 @@ _LOOKALIKES = dict(
     )
 )
 _INVISIBLE = "­​‌‍⁠﻿"
+_VANISHING = re.compile(f"[{_INVISIBLE}]")
 
 # Digits in words (English, German, French, Spanish).
 _DIGIT_WORDS = {
@@ -107,27 +109,57 @@ def find_plain(text: str) -> list[tuple[str, int, int]]:
 
 
 class Traced:
-    """A text with the source range of each character."""
+    """A text with the source range of each character, kept as runs: characters of a run either stand one by one for
+    the source characters from its start on, or each for its whole range."""
 
-    def __init__(self, text: str, starts: list[int], ends: list[int]):
-        self.text, self.starts, self.ends = text, starts, ends
+    def __init__(self, text: str, starts: list[int] | None = None, runs: list[tuple[int, int, bool]] | None = None):
+        self.text, self.starts, self.runs = text, starts or [0], runs or [(0, len(text), True)]
+
+    def source(self, i: int) -> tuple[int, int]:
+        """Source range of a character."""
+        k = bisect_right(self.starts, i) - 1
+        a, b, even = self.runs[k]
+        return (a + i - self.starts[k], a + i - self.starts[k] + 1) if even else (a, b)
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> Traced:
         """Replace (start, end, new) ranges, in order. Each new character spans its whole range."""
-        text, starts, ends, done = [], [], [], 0
+        if not edits:
+            return self
+        text, starts, runs, size = [], [], [], 0
+
+        def keep(a: int, b: int) -> None:
+            nonlocal size
+            text.append(self.text[a:b])
+            k = bisect_right(self.starts, a) - 1
+            while a < b:
+                x, y, even = self.runs[k]
+                end = min(b, self.starts[k + 1]) if k + 1 < len(self.starts) else b
+                if even:
+                    x, y = x + a - self.starts[k], x + end - self.starts[k]
+                starts.append(size)
+                runs.append((x, y, even))
+                size, a, k = size + end - a, end, k + 1
+
+        done = 0
         for a, b, new in edits:
-            text += [self.text[done:a], new]
-            starts += self.starts[done:a] + [self.starts[a]] * len(new)
-            ends += self.ends[done:a] + [self.ends[b - 1]] * len(new)
+            keep(done, a)
+            if new:
+                text.append(new)
+                starts.append(size)
+                runs.append((self.source(a)[0], self.source(b - 1)[1], False))
+                size += len(new)
             done = b
-        text.append(self.text[done:])
-        return Traced("".join(text), starts + self.starts[done:], ends + self.ends[done:])
+        keep(done, len(self.text))
+        return Traced("".join(text), starts, runs)
 
 
 def _fold(t: Traced) -> Traced:
+    """Characters that stand for one other change in place; those that stand for none vanish."""
     if t.text.isascii():
         return t
-    return t.rewrite([(i, i + 1, new) for i, c in enumerate(t.text) if c > "\x7f" and (new := _folded(c)) != c])
+    new = {ord(c): _folded(c) for c in set(t.text) if c > "\x7f"}
+    folded = Traced(t.text.translate({c: n for c, n in new.items() if n}), t.starts, t.runs)
+    return folded.rewrite([(*m.span(), "") for m in _VANISHING.finditer(folded.text)])
 
 
 def _digit_runs(text: str) -> Iterator[tuple[int, list[re.Match]]]:
@@ -177,7 +209,7 @@ def _signs(t: Traced) -> Traced:
     for m in _SPOKEN.finditer(text):
         (at, after), (first, last) = m.span("at"), m.span("domain")
         dots = [d.span() for d in _SPOKEN_DOT.finditer(text, first, last)]
-        hidden = dots or any(text[i] == "." and t.ends[i] - t.starts[i] > 1 for i in range(first, last))
+        hidden = dots or any(text[i] == "." and t.source(i)[1] - t.source(i)[0] > 1 for i in range(first, last))
         start = _local_start(text, at, end) if m["at"] == "@" or hidden else at
         if start < at:
             edits += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(text, start, at)]
@@ -188,7 +220,8 @@ def _signs(t: Traced) -> Traced:
 
 
 def find_spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """(plain findings, all findings), each by kind and start; positions count code points, ends are exclusive."""
+    """(plain findings, all findings), each by kind and start; positions count code points, ends are exclusive. A text
+    is searched whole, however long; beside copies of it, memory grows with the number of rewritten places only."""
     if not text:
         return [], []
     plain = find_plain(text)
@@ -198,14 +231,14 @@ def find_spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple
     spelled = next(_digit_runs(text), None) is not None
     if not (strange or signs or spelled):
         return plain, plain
-    t = Traced(text, list(range(len(text))), list(range(1, len(text) + 1)))
+    t = Traced(text)
     for step in (_fold, _bracketed, _spelled, _signs):
         t = step(t)
     taken = {kind: [(a, b) for k, a, b in plain if k == kind] for kind in KINDS}
     found = list(plain)
     if t.text != text:
         for kind, a, b in find_plain(t.text):
-            a, b = t.starts[a], t.ends[b - 1]
+            a, b = t.source(a)[0], t.source(b - 1)[1]
             # An address that was found in part is found again as a whole.
             if all(b <= x or a >= y or (kind == "email" and a <= x and y <= b and b - a > y - x) for x, y in taken[kind]):
                 found.append((kind, a, b))

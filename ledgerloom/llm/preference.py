@@ -20,13 +20,13 @@ def rendered(role: Column, text: Column) -> Column:
     return F.concat(F.lit(before), F.coalesce(role, F.lit("unknown")), F.lit(after), F.coalesce(text, F.lit("")), F.lit(CLOSE))
 
 
-def numbered(turns: DataFrame) -> DataFrame:
-    """Turns (pair_id, side, turn, role, text) with their rows made unique: of several rows for one turn, the smallest
-    (role, text) counts, null first. Rows with a null pair_id, side or turn belong to no conversation and are left
-    out."""
-    named = turns.where("pair_id is not null and side in ('chosen', 'rejected') and turn is not null")
-    one = F.min(F.struct("role", "text")).alias("said")
-    return named.groupBy("pair_id", "side", "turn").agg(one).select("pair_id", "side", "turn", "said.role", "said.text")
+def paired(turns: DataFrame) -> DataFrame:
+    """(pair_id, turn, chosen, rejected): what either side says at a turn (role, text), null where it has no such turn. Of
+    several rows for one turn of a side, the smallest (role, text) counts, null first. Rows with a null pair_id or turn,
+    or of another side, belong to no conversation and are left out."""
+    named = turns.where("pair_id is not null and turn is not null and side in ('chosen', 'rejected')")
+    said = lambda side: F.min(F.when(F.col("side") == side, F.struct("role", "text"))).alias(side)
+    return named.groupBy("pair_id", "turn").agg(said("chosen"), said("rejected"))
 
 
 def preference_turns(turns: DataFrame, trained_role: str = "assistant") -> DataFrame:
@@ -39,25 +39,29 @@ def preference_turns(turns: DataFrame, trained_role: str = "assistant") -> DataF
     `trained_role`, nothing (both 0) elsewhere. status: paired, identical (no completion differs), chosen_only or
     rejected_only (one side has no turns). Other columns are ignored.
 
-    The prefix is found by a full join on pair and turn number and a minimum per pair, so a conversation of any
-    length spreads over tasks.
+    Rows that repeat a turn count once, a null role is trained on like any other that isn't `trained_role`, and an empty
+    table gives an empty result. Turns meet by pair and turn number and the cut is a minimum per pair, so a conversation of
+    any length spreads over tasks; from then on a text that both sides share travels once.
     """
-    one = numbered(turns)
-    side = lambda s: one.where(F.col("side") == s).select("pair_id", "turn", F.col("role").alias(f"{s}_role"), F.col("text").alias(f"{s}_text"), F.lit(True).alias(f"has_{s}"))
-    both = side("chosen").join(side("rejected"), ["pair_id", "turn"], "full")
-    same = F.col("has_chosen").isNotNull() & F.col("has_rejected").isNotNull() & F.col("chosen_role").eqNullSafe(F.col("rejected_role")) & F.col("chosen_text").eqNullSafe(F.col("rejected_text"))
+    both = paired(turns)
+    c, r = F.col("chosen"), F.col("rejected")
+    same = c.isNotNull() & r.isNotNull() & c["role"].eqNullSafe(r["role"]) & c["text"].eqNullSafe(r["text"])
     both = both.withColumn("same", same)
     cut = both.groupBy("pair_id").agg(
-        F.min(F.when(~F.col("same"), F.col("turn"))).alias("cut"),
-        F.max(F.coalesce("has_chosen", F.lit(False))).alias("any_chosen"), F.max(F.coalesce("has_rejected", F.lit(False))).alias("any_rejected"),
+        F.min(F.when(~F.col("same"), F.col("turn"))).alias("cut"), F.max(c.isNotNull()).alias("any_chosen"), F.max(r.isNotNull()).alias("any_rejected"),
     )
-    marked = both.join(cut, "pair_id")
+    # One more key, always 0, puts an exchange under the grouped side too: Spark splits a hot pair only there.
+    zero = F.pmod(F.xxhash64("pair_id"), F.lit(1).cast("long")).alias("zero")
+    lean = both.select("pair_id", "turn", "same", "chosen", F.when(~F.col("same"), r).alias("rejected"), zero)
+    marked = lean.join(cut.select("pair_id", "cut", "any_chosen", "any_rejected", zero), ["pair_id", "zero"])
     prompt = F.col("cut").isNull() | (F.col("turn") < F.col("cut"))
-    turn = lambda s, name: F.struct(F.lit(name).alias("segment"), F.col(f"{s}_role").alias("role"), F.col(f"{s}_text").alias("text"))
-    completions = F.array_compact(F.array(F.when(F.col("has_chosen"), turn("chosen", "chosen")), F.when(F.col("has_rejected"), turn("rejected", "rejected"))))
+    # A turn after the cut that both sides share is a completion of either.
+    other = F.when(F.col("same"), c).otherwise(r)
+    turn = lambda name, said: F.when(said.isNotNull(), F.struct(F.lit(name).alias("segment"), said["role"].alias("role"), said["text"].alias("text")))
+    completions = F.array_compact(F.array(turn("chosen", c), turn("rejected", other)))
     status = F.when(~F.col("any_rejected"), "chosen_only").when(~F.col("any_chosen"), "rejected_only")
     status = status.when(F.col("cut").isNull(), "identical").otherwise("paired")
-    lines = marked.select("pair_id", "turn", status.alias("status"), F.explode(F.when(prompt, F.array(turn("chosen", "prompt"))).otherwise(completions)).alias("t"))
+    lines = marked.select("pair_id", "turn", status.alias("status"), F.explode(F.when(prompt, F.array(turn("prompt", c))).otherwise(completions)).alias("t"))
     lines = lines.select("pair_id", "turn", "status", "t.segment", "t.role", "t.text").withColumn("rendered", rendered(F.col("role"), F.col("text")))
     trained = (F.col("segment") != "prompt") & F.col("role").eqNullSafe(F.lit(trained_role))
     n = F.char_length("rendered")

@@ -57,6 +57,61 @@ def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     return mixed.view(np.int64)
 
 
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+class _Words:
+    """Words of which some are marked, with hashes of windows of any length."""
+
+    def __init__(self, codes: np.ndarray):
+        one, inverse = np.ones(1, np.uint64), np.uint64(pow(int(_FACTOR), -1, 2**64))
+        powers = np.cumprod(np.concatenate((one, np.full(len(codes), _FACTOR))))
+        self.undo = np.cumprod(np.concatenate((one, np.full(len(codes), inverse))))
+        self.sums = np.concatenate((one - one, np.cumsum(codes * powers[:-1])))
+        self.free = np.ones(len(codes), bool)
+
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, hashes) of the windows without a marked word."""
+        marked = np.concatenate(([0], np.cumsum(~self.free)))
+        at = np.flatnonzero(marked[size:] == marked[: len(marked) - size])
+        return at, (self.sums[at + size] - self.sums[at]) * self.undo[at]
+
+
+def _tile_repetitive(item: list[bytes], doc: list[bytes], shortest: int) -> list[tuple[int, int, int]]:
+    """The same tiles, by searching the greatest length at which unmarked windows match again after each tile. Memory
+    is linear in the texts; the time is that of a few passes over them for each tile."""
+    numbers: dict[bytes, int] = {}
+    codes = [np.array([numbers.setdefault(w, len(numbers)) for w in words], np.uint64) for words in (item, doc)]
+    mixed = np.random.Generator(np.random.PCG64(5)).integers(1, 2**63, len(numbers), np.uint64)
+    left, right = (_Words(mixed[c]) for c in codes)
+
+    def match(size: int) -> tuple[int, int] | None:
+        a, x = left.windows(size)
+        b, y = right.windows(size)
+        found = np.flatnonzero(np.isin(x, y))
+        if not len(found):
+            return None
+        return int(a[found[0]]), int(b[np.flatnonzero(y == x[found[0]])[0]])
+
+    tiles, longest = [], min(len(item), len(doc))
+    while longest >= shortest:
+        low, place = shortest - 1, None
+        while low < longest:
+            middle = (low + longest + 1) // 2
+            at = match(middle)
+            if at is None:
+                longest = middle - 1
+            else:
+                low, place = middle, at
+        if place is None:
+            break
+        for words, start in zip((left, right), place, strict=True):
+            words.free[start : start + low] = False
+        tiles.append((*place, low))
+        longest = low
+    return tiles
+
+
 def tile(item: list[bytes], doc: list[bytes], shortest: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (item position, document position, length) of non-overlapping matches, the longest
     unmarked one first, ties to the earlier item and document position."""
@@ -67,6 +122,8 @@ def tile(item: list[bytes], doc: list[bytes], shortest: int) -> list[tuple[int,
     lo, hi = np.searchsorted(left[order], right), np.searchsorted(left[order], right, side="right")
     hit = np.flatnonzero(hi > lo)
     counts = hi[hit] - lo[hit]
+    if counts.sum() > 32 * (len(item) + len(doc)):  # windows that come again and again: too many pairs to list
+        return _tile_repetitive(item, doc, shortest)
     d = np.repeat(hit, counts)
     within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     i = order[np.repeat(lo[hit], counts) + within]
@@ -136,7 +193,8 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, settings: TilingSettin
     """(doc_id, item_id, coverage, n_tiles, longest) of every document (doc_id, text) that covers at least
     `settings.coverage` of the words of an item (item_id, text).
 
-    Null, empty and wordless texts match nothing. An item of fewer words than a seed must occur whole. Rows that
+    Null, empty and wordless texts match nothing. Texts are compared whole, however long, in memory linear in their
+    words, also where words or passages come again and again. An item of fewer words than a seed must occur whole. Rows that
     repeat a doc_id or item_id give one row per pair, with the highest coverage; null ids are ids of their own.
     Other columns are ignored. Empty tables give an empty result.
     """
