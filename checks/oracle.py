@@ -11,6 +11,7 @@ from checks.queries import (
     CUTOVER,
     LATER_MIN_YEAR,
     MIN_YEAR,
+    REPLAY,
     REWARDS_AS_OF,
     REWARDS_SINCE,
     RULES,
@@ -1119,10 +1120,25 @@ for _variant in ("with_product", "no_product", "other_products", "main_family"):
 for _name, _whole in {
     "revenue_cube_from_stored_rewards": "revenue_cube", "consolidated_pnl_from_stored_cubes": "consolidated_pnl",
     "incremental_revenue_lines": "revenue_lines", "reconcile_changed_documents": "reconcile_by_holding",
-    "cumulative_extended": "cumulative_by_calendar",
+    "cumulative_extended": "cumulative_by_calendar", "rewards_loaded_from_members": "rewards_loaded",
+    "enrich_colocated": "enrich_normalized_key", "rewards_orders_from_members": "rewards_orders", "rewards_redeemed_from_members": "rewards_redeemed",
 }.items():
     SQL[_name] = SQL[_whole]
 
+for _block, _text in _months_sql("with_product").items():
+    _known = _text.replace(ledger(ALL), ledger(ALL, f"document_date IS NULL OR document_date <= {date(REPLAY)}"))
+    BLOCKS[_block.replace("_with_product", "_as_of")] = _known.replace("_with_product}", "_as_of}")
+_CENSORED = ", ".join(
+    f"CASE WHEN full_date >= {date(REPLAY.replace(day=1))} THEN 0 ELSE {c} END AS {c}" for c in ("members_churn", "value_lc_churn", "value_usd_churn", "logo_churn")
+)
+SQL["buildup_as_of"] = iso(f"SELECT * REPLACE ({_CENSORED}) FROM {{buildup_as_of}}", "full_date", "holding_cohort")
+
+BLOCKS["deal_versions_then"] = f"SELECT * FROM {{deal_versions}} WHERE last_modified_date IS NULL OR CAST(last_modified_date AS DATE) <= {date(REPLAY)}"
+for _block in ("won", "won_es", "logos"):
+    _then = BLOCKS[_block].replace("{deal_versions}", "{deal_versions_then}").replace(date(AS_OF), date(REPLAY))
+    BLOCKS[f"{_block}_then"] = _then.replace("{won}", "{won_then}").replace("{won_es}", "{won_es_then}")
+SQL["first_time_company_as_of"] = SQL["first_time_company"].replace("{logos}", "{logos_then}")
+
 SQL["ordered_revenue_cube"] = """
 SELECT year, month, revenue_stream, tax_id_client, row_number() OVER (
   ORDER BY year NULLS FIRST, month NULLS FIRST, revenue_stream NULLS FIRST, tax_id_client NULLS FIRST) AS place FROM {revenue_cube}"""
@@ -1151,6 +1167,58 @@ SQL["reconcile_delta"] = iso(f"""
 SELECT *, CAST(1 AS BIGINT) AS change FROM ({_kept_documents("current_holding")} EXCEPT ALL {_kept_documents("documents_before")})
 UNION ALL SELECT *, CAST(-1 AS BIGINT) FROM ({_kept_documents("documents_before")} EXCEPT ALL {_kept_documents("current_holding")})""", "service_date")
 
+SQL["large_rule_list"] = """
+SELECT c.c_custkey, c.c_name, min_by(p.p_name, p.p_partkey) AS label
+FROM {customer} c LEFT JOIN {part} p ON c.c_name LIKE '%' || right(lpad(CAST(p.p_partkey AS VARCHAR), 9, '0'), 4) || '%'
+GROUP BY c.c_custkey, c.c_name"""
+
+
+def _total(x: str) -> str:
+    return as_double(f"SUM(CAST({x} AS DECIMAL(38, 10)))")
+
+
+SQL["control_totals"] = f"""
+SELECT 'rates' AS step, (SELECT count(*) FROM {{ledger_history}}) AS rows_in, count(*) AS rows_out, count(*) FILTER (x.Year IS NULL) AS rows_unmatched,
+  (SELECT {_total(exact("value_lc"))} FROM {{ledger_history}}) AS amount_in, {_total(exact("f.value_lc"))} AS amount_out,
+  {_total(f"CASE WHEN x.Year IS NULL THEN {exact('f.value_lc')} END")} AS amount_unmatched
+FROM {{ledger_history}} f LEFT JOIN {{fx_budget}} x ON {_FX_LINE}
+UNION ALL
+SELECT 'holdings', (SELECT count(*) FROM {{ledger_current}}), count(*), 0,
+  (SELECT {_total(exact("value_lc"))} FROM {{ledger_current}}), {_total(exact("f.value_lc"))}, NULL
+FROM {{ledger_current}} f JOIN {{holdings}} h ON {key("f.legal_client_id")} = {key("h.tax_id_client")}
+UNION ALL
+SELECT 'weights', count(*), CAST(sum(CASE WHEN known THEN 3 ELSE 1 END) AS BIGINT), count(*) FILTER (NOT known), {_total("value")},
+  {as_double(f"SUM(CASE WHEN known THEN 3 * {converted('share')} END)")}, NULL
+FROM (
+  SELECT value, coalesce(currency IN ('CLP', 'MXN', 'BRL', 'USD', 'EUR'), false) AS known, CAST(value AS DOUBLE) * CAST(0.3333 AS DOUBLE) AS share
+  FROM (SELECT currency, SUM({exact("value_lc")}) AS value FROM {{expenses_base_a}} GROUP BY currency))
+"""
+SQL["weights_that_do_not_add_up"] = f"""
+SELECT countryId, CAST(sum(weight) AS DOUBLE) AS total_weight FROM (
+  SELECT countryId, CAST(floor({ratio("amount", "sum(amount) OVER (PARTITION BY countryId)")} * 10000) AS DECIMAL(10, 0)) * CAST(0.0001 AS DECIMAL(4, 4)) AS weight
+  FROM (SELECT countryId, companyId, SUM({exact("totalamount")}) AS amount FROM {{orders_bo}} GROUP BY ALL))
+GROUP BY countryId HAVING abs(sum(weight) - 1) > 1e-9"""
+
+
+def _by_holding(source: str, period: str) -> str:
+    return f"""SELECT {period} AS period, holding_name, revenue_stream, service_country, SUM({exact("value_lc")}) AS value, count(*) AS n
+  FROM {{{source}}} GROUP BY ALL"""
+
+
+SQL["cube_against_buildup"] = iso(f"""
+SELECT CASE WHEN a.n IS NULL THEN b.period ELSE a.period END AS period, CASE WHEN a.n IS NULL THEN b.holding_name ELSE a.holding_name END AS holding_name,
+  CASE WHEN a.n IS NULL THEN b.revenue_stream ELSE a.revenue_stream END AS revenue_stream,
+  CASE WHEN a.n IS NULL THEN b.service_country ELSE a.service_country END AS service_country, reason,
+  CAST(a.value AS DOUBLE) AS value_left, CAST(b.value AS DOUBLE) AS value_right, CAST(coalesce(a.value, 0) - coalesce(b.value, 0) AS DOUBLE) AS value_difference,
+  coalesce(a.n, 0) - coalesce(b.n, 0) AS rows_difference
+FROM (
+  SELECT a, b, CASE WHEN b.n IS NULL THEN 'only left' WHEN a.n IS NULL THEN 'only right'
+    WHEN (a.value IS NULL) <> (b.value IS NULL) OR abs(a.value - b.value) > 0.01 THEN 'value' WHEN a.n <> b.n THEN 'rows' END AS reason
+  FROM ({_by_holding("revenue_cube", month("full_date"))}) a FULL JOIN ({_by_holding("buildup_with_product", "full_date")}) b
+    ON a.period IS NOT DISTINCT FROM b.period AND a.holding_name IS NOT DISTINCT FROM b.holding_name
+    AND a.revenue_stream IS NOT DISTINCT FROM b.revenue_stream AND a.service_country IS NOT DISTINCT FROM b.service_country)
+WHERE reason IS NOT NULL""", "period")
+
 
 def oracle_sql() -> dict[str, str]:
     """Query name to one self-contained statement over the given tables."""

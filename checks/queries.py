@@ -21,9 +21,14 @@ from ledgerloom.operators import lookup as L
 from ledgerloom.operators import reconcile as RC
 from ledgerloom.operators import series as TS
 from ledgerloom.operators.fx import fx_convert
+from ledgerloom.operators.control import ControlTotals
+from ledgerloom.operators.difference import differences
+from ledgerloom.operators.patterns import label_by_patterns
 from ledgerloom.operators.running import RunningTotals
 from ledgerloom.plans import acquisition, engagement, expenses, pnl, revenue, rewards
-from ledgerloom.sources import ordered, shapes
+from ledgerloom.sources import ordered, shapes, shredded
+from ledgerloom.sources.asof import AsOf
+from ledgerloom.sources.colocated import Colocated, join_colocated, write_colocated
 from ledgerloom.sources.cubes import read_cube, write_cube
 from ledgerloom.sources.incremental import StoredCube
 from ledgerloom.sources.schemas import SCHEMAS
@@ -794,6 +799,110 @@ def cumulative_extended(t: ViewTables) -> DataFrame:
     return engagement.activity_units(totals.by_calendar(shapes.calendar_months(t["calendar"], start, AS_OF)))
 
 
+def _with_members(t: ViewTables, name: str) -> DataFrame:
+    """A table stored with the members that the rewards ledgers use in columns of their own."""
+    document, members = rewards.DOCUMENTS[name]
+    return _written(t, name, shredded.shred(t[name], document, members.values()))
+
+
+@query
+def rewards_loaded_from_members(t: ViewTables) -> DataFrame:
+    return rewards.loaded(Replaced(t, loads=_with_members(t, "loads")), RULES, REWARDS_SINCE, REWARDS_AS_OF)
+
+
+@query
+def rewards_orders_from_members(t: ViewTables) -> DataFrame:
+    stored = Replaced(t, balance_tx=_with_members(t, "balance_tx"), orders_bo=_with_members(t, "orders_bo"))
+    return rewards.orders(stored, RULES, SINCE)
+
+
+@query
+def rewards_redeemed_from_members(t: ViewTables) -> DataFrame:
+    stored = Replaced(t, user_giftcards=_with_members(t, "user_giftcards"))
+    return rewards.redeemed(stored, RULES, REWARDS_SINCE, REWARDS_AS_OF)
+
+
+# ---- rule lists, control totals, differences -----------------------------------------------------------
+
+
+@query
+def large_rule_list(t: ViewTables) -> DataFrame:
+    """Customers labelled by the first of as many patterns as there are parts: the last four digits of a part's number."""
+    digits = F.substring(F.lpad(F.col("p_partkey").cast("string"), 9, "0"), -4, 4)
+    rules = t.view("part").select(
+        F.col("p_partkey").alias("rank"), F.concat(F.lit("%"), digits, F.lit("%")).alias("pattern"), F.col("p_name").alias("label")
+    )
+    return label_by_patterns(t.view("customer").select("c_custkey", "c_name"), "c_name", rules, "label")
+
+
+@query
+def control_totals(t: ViewTables) -> DataFrame:
+    """Rows and amounts of a rate look-up, a holding look-up that multiplies and loses rows, and an allocation whose
+    weights add up to 0.9999, observed while the results are written."""
+    totals = ControlTotals(t.spark)
+    lines = t["ledger_history"].select("document_number", "service_date", "local_currency", S.money("value_lc").alias("value"))
+    rated = lines.withColumn("rate_year", F.year("service_date").cast("string"))
+    rate_keys = [L.Key("rate_year", "Year"), L.Key("local_currency", "Currency")]
+    _written(t, "rated", totals.lookup("rates", rated, t["fx_budget"], rate_keys, {"Value": "rate"}, "value"))
+    current = t["ledger_current"].select("legal_client_id", "revenue_stream", "legal_entity_country", S.money("value_lc").alias("value"))
+    client = [L.Key("legal_client_id", "tax_id_client", left_by=S.normalize_id, right_by=S.normalize_id)]
+    _written(t, "held", totals.lookup("holdings", current, t["holdings"], client, ["holding_name"], "value", "inner"))
+    cost = t["expenses_base_a"].groupBy("currency").agg(F.sum(S.money("value_lc")).alias("value"))
+    thirds = [(c, country, 0.3333) for c in ("CLP", "MXN", "BRL", "USD", "EUR") for country in ("CL", "MX", "ES")]
+    weights = shapes.literal_table(t.spark, thirds, "currency string, country string, weight double")
+    spread = totals.allocate("weights", cost, weights, {"currency": "currency"}, "value", "weight", "share", {"country": ("country", "currency")})
+    _written(t, "spread", spread)
+    return totals.report()
+
+
+REPLAY = dt.date(1998, 6, 20)
+
+
+@query
+def buildup_as_of(t: ViewTables) -> DataFrame:
+    """The buildup as it was on an earlier day: documents dated later are unknown, and what its month shows as the last
+    of a series has not churned."""
+    return revenue.buildup(AsOf(t, REPLAY), RULES, "with_product", censor=REPLAY)
+
+
+@query
+def first_time_company_as_of(t: ViewTables) -> DataFrame:
+    """Booked logos from the versions of deals that were valid on an earlier day."""
+    return acquisition.booked_logos(AsOf(t, REPLAY), RULES, SINCE, REPLAY)
+
+
+@query
+def enrich_colocated(t: ViewTables) -> DataFrame:
+    """Ledger and holdings stored by their normalised id, stream and country, and joined where they lie."""
+    lines = t["ledger_current"].select("document_number", "legal_client_id", "revenue_stream", "legal_entity_country")
+
+    def stored(name: str, df: DataFrame, keys: tuple[str, str, str]) -> Colocated:
+        path = new_path(t.spark, name)
+        columns = [S.normalize_id(F.col(keys[0])), F.col(keys[1]), F.col(keys[2])]
+        return write_colocated(df, path.rsplit("/", 1)[1].replace("-", "_"), path, columns, 8)
+
+    left = stored("ledger", lines, ("legal_client_id", "revenue_stream", "legal_entity_country"))
+    right = stored("holdings", t["holdings"], ("tax_id_client", "revenue_stream", "service_country"))
+    return join_colocated(t.spark, left, right, ["holding_name", "client_segment", "holding_cohort"])
+
+
+@query
+def weights_that_do_not_add_up(t: ViewTables) -> DataFrame:
+    """Shares of companies in their country's orders, cut to ten-thousandths: the countries whose shares lose cost."""
+    ten_thousandths = F.floor(F.col("share") * 10000).cast("decimal(10,0)")
+    weights = share_of_total(t).withColumn("weight", ten_thousandths * F.lit("0.0001").cast("decimal(4,4)"))
+    return A.check_weights(weights, ["countryId"], "weight")
+
+
+@query
+def cube_against_buildup(t: ViewTables) -> DataFrame:
+    """Months, holdings and streams in which the revenue cube and the buildup don't agree, with the reason."""
+    keys = ["period", "holding_name", "revenue_stream", "service_country"]
+    cube = t["revenue_cube"].select(S.month_start("full_date").alias("period"), *keys[1:], S.money("value_lc").alias("value"))
+    built = t["buildup_cube"].select(F.col("full_date").alias("period"), *keys[1:], S.money("value_lc").alias("value"))
+    return differences(cube, built, keys, ["value"], 0.01)
+
+
 @lru_cache(maxsize=4)
 def _tables(spark: SparkSession, sf_dir: str) -> ViewTables:
     """Lazy plans of the views, built once per session and folder."""

@@ -275,8 +275,9 @@ def with_context(base: DataFrame, v: Buildup) -> DataFrame:
     return period_context(base, keys, "full_date", MEASURES, tie_break=rest)
 
 
-def decomposition(context: DataFrame, v: Buildup) -> DataFrame:
-    """Movement of members, local and USD value, and logo counters."""
+def decomposition(context: DataFrame, v: Buildup, censor: dt.date | None = None) -> DataFrame:
+    """Movement of members, local and USD value, and logo counters. With `censor`, nothing has churned yet in the month
+    of that day or later, where a series has no next month only because the data end."""
     df = context
     ends: dict[str, Column | None] = dict.fromkeys(MEASURES)
     if v.linked_products:
@@ -286,6 +287,9 @@ def decomposition(context: DataFrame, v: Buildup) -> DataFrame:
             "*", *[sibling_value(month_keys, main, F.col(f"{m}_next")).alias(f"{m}_main_next") for m in MEASURES]
         )
         ends = {m: linked_end(m, R.MAIN_PRODUCT, R.ADDON_PRODUCT, f"{m}_main_next") for m in MEASURES}
+    ended = F.lit(True) if censor is None else F.col("full_date") < F.lit(censor.replace(day=1))
+    if censor is not None:
+        ends = {m: ended & (F.col(f"{m}_next").isNull() if end is None else end) for m, end in ends.items()}
     ignore = {"members": False, "value_lc": v.ignore_negative_local, "value_usd": True}
     columns = []
     for m in MEASURES:
@@ -295,13 +299,15 @@ def decomposition(context: DataFrame, v: Buildup) -> DataFrame:
         exclude=R.ADDON_PRODUCT if v.exclude_addon_logos else None,
         only_churn=R.MAIN_PRODUCT if v.linked_products else None,
     )
+    if censor is not None:
+        logos["logo_churn"] = F.when(ended, logos["logo_churn"]).otherwise(F.lit(0).cast("long"))
     return df.select("*", *columns, *[c.alias(n) for n, c in logos.items()])
 
 
-def buildup(t: Tables, rules: R.Rules, variant: str = "with_product") -> DataFrame:
-    """Month-over-month revenue buildup: one row per holding grain and month."""
+def buildup(t: Tables, rules: R.Rules, variant: str = "with_product", censor: dt.date | None = None) -> DataFrame:
+    """Month-over-month revenue buildup: one row per holding grain and month. `censor`: see `decomposition`."""
     v = BUILDUPS[variant]
-    parts = decomposition(with_context(revenue_base(t, reconciled_months(t, rules, v), v), v), v)
+    parts = decomposition(with_context(revenue_base(t, reconciled_months(t, rules, v), v), v), v, censor)
     columns = [
         F.col("full_date"), year_of("full_date").alias("year"), month_of("full_date").alias("month"),
         *[F.col(c) for c in ("service_country", "revenue_stream", "holding_name", "sponsor")],

@@ -18,16 +18,28 @@ from ledgerloom.functions.business import (
 from ledgerloom.functions.scalars import (
     before,
     clean_order_id,
-    json_value,
     local_datetime,
     text_to_long,
-    with_json,
     year_month,
 )
 from ledgerloom.operators.lookup import Key, lookup
 from ledgerloom.sources.shapes import within_spine
+from ledgerloom.sources.shredded import with_members
 from ledgerloom.sources.warehouse import Tables
 
+# Members that the ledgers take from documents.
+LOAD_MEMBERS = {
+    "limited_to": "$.allowedGiftCardIds", "amount_text": "$.amount", "user nationalId": "$.nationalId", "user_email": "$.email",
+    "bonus_id": "$.id",
+}
+WITHDRAWAL_MEMBERS = {"withdrawn_order": "$.orderId", "withdrawn_text": "$.amount"}
+PRODUCT_MEMBERS = {"product_quantity": "$.quantity"}
+CONTRIBUTION_MEMBERS = {"taken_text": "$.totalTakenAmount", "bonus_id": "$.bonusId"}
+DOCUMENTS = {
+    "loads": ("giftCards_member", LOAD_MEMBERS), "balance_tx": ("withdraworders_member", WITHDRAWAL_MEMBERS),
+    "orders_bo": ("products_member", PRODUCT_MEMBERS), "user_giftcards": ("contributions_member", CONTRIBUTION_MEMBERS),
+}
+
 LOAD_SPINE_START = dt.date(2023, 1, 1)
 ORDER_START = dt.date(2023, 6, 1)
 LEDGER_START = dt.date(2025, 1, 1)
@@ -68,10 +80,9 @@ def loaded(
         & _on_or_after("createdAt", since)
         & _order_like("transactionId", R.LOAD_COUNTRY_ID_REGEX)
     )
-    loads = with_json(dated, member).filter(json_value(member, "$.allowedGiftCardIds").isNull()).select(
-        "createdAt", "transactionId", "companyId", json_value(member, "$.amount").alias("amount_text"),
-        json_value(member, "$.nationalId").alias("user nationalId"), json_value(member, "$.email").alias("user_email"),
-        json_value(member, "$.id").alias("bonus_id"),
+    members = with_members(dated, member, LOAD_MEMBERS)
+    loads = members.filter(F.col("limited_to").isNull()).select(
+        "createdAt", "transactionId", "companyId", *[c for c in LOAD_MEMBERS if c != "limited_to"]
     )
     by_label = [Key("transactionId", "label")]
     order_companies = t["orders_bo"].select("document_id", "label", "companyId").distinct()
@@ -96,9 +107,8 @@ def loaded(
 def invoiced_orders(t: Tables) -> DataFrame:
     """Orders paid from the balance of another order: both labels and the amount withdrawn."""
     member = "withdraworders_member"
-    moves = with_json(t["balance_tx"], member).select(
-        "depositorderid", json_value(member, "$.orderId").alias("withdrawn_order"),
-        text_to_long(json_value(member, "$.amount")).alias("withdrawn_amount"),
+    moves = with_members(t["balance_tx"], member, WITHDRAWAL_MEMBERS).select(
+        "depositorderid", "withdrawn_order", text_to_long("withdrawn_text").alias("withdrawn_amount"),
     )
     orders = t["orders_bo"]
     funded = lookup(
@@ -118,7 +128,7 @@ def orders(t: Tables, rules: R.Rules, since: dt.date = ORDER_START) -> DataFrame
         & (F.col("status") == "done")
     )
     linked = lookup(
-        with_json(done, "products_member"), invoiced_orders(t), [Key("label", "label_order_ingresada")],
+        with_members(done, "products_member", PRODUCT_MEMBERS), invoiced_orders(t), [Key("label", "label_order_ingresada")],
         ["label_order_facturada", "withdrawn_amount"],
     ).withColumn("super_label", F.coalesce("label_order_facturada", "label")).withColumn(
         "super_id", clean_order_id("super_label")
@@ -150,7 +160,7 @@ def orders(t: Tables, rules: R.Rules, since: dt.date = ORDER_START) -> DataFrame
         F.col("super_id").alias("invoiced_orden_factura_suprema Limpio"),
         year_month("first_date").alias("AnoMes Order Supremo"),
         F.col("withdrawn_amount").alias("withdrawn_amount_saldo"),
-        text_to_long(json_value("products_member", "$.quantity")).alias("productAmount"),
+        text_to_long("product_quantity").alias("productAmount"),
         F.when(portal, "Portal").otherwise("BO").alias("channel"),
     ).distinct()
 
@@ -181,10 +191,9 @@ def redeemed(
     ).withColumn("local_created", local_datetime("createdAt", zone)).filter(
         _on_or_after("local_created", since)
     )
-    redemptions = with_json(kept, member).select(
+    redemptions = with_members(kept, member, CONTRIBUTION_MEMBERS).select(
         "local_created", F.col("amount").alias("total_amount"), "giftCardId", "code", "userId",
-        text_to_long(json_value(member, "$.totalTakenAmount")).alias("taken"),
-        json_value(member, "$.bonusId").alias("bonus_id"),
+        text_to_long("taken_text").alias("taken"), "bonus_id",
     )
     bonuses = t["bonuses"].filter(F.col("giftCardsLoadId").isNotNull()).select(
         "document_id", "giftCardsLoadId", "userId"

@@ -28,12 +28,13 @@ def _as_declared(name: str, actual: T.DataType, declared: T.DataType) -> str | C
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the contract's columns, by name, with its types. DATE/DATETIME become dates; decimal
-    amounts and zone-less instants are kept as they are."""
+    amounts and zone-less instants are kept as they are, and so are members shredded from a document of the contract."""
     actual = {f.name: f.dataType for f in df.schema}
     absent = [f.name for f in schema if f.name not in actual]
     if absent:
         raise MissingColumns(f"columns not found: {', '.join(absent)}")
     columns = [_as_declared(f.name, actual[f.name], f.dataType) for f in schema]
+    columns += [c for c in df.columns if "__" in c and c.split("__")[0] in schema.fieldNames()]
     unchanged = all(isinstance(c, str) for c in columns) and columns == df.columns
     return df if unchanged else df.select(*columns)
 
