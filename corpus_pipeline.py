@@ -36,7 +36,8 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that contain an item of the benchmark. Documents with a null doc_id can't be named and stay."""
     pairs = tiling.contaminated_pairs(docs, table(spark, sf_dir, "benchmark"))
-    bad = pairs.select(F.col("doc_id").alias("bad_id")).where("bad_id is not null").distinct()
+    # Written first, so that Spark knows how few they are before it moves any text.
+    bad = staged(pairs.select(F.col("doc_id").alias("bad_id")).where("bad_id is not null").distinct(), "contaminated")
     return docs.join(bad, docs["doc_id"] == bad["bad_id"], "left_anti")
 
 
