@@ -161,15 +161,17 @@ def _surviving(pairs: DataFrame, sigs: DataFrame, s: MinHashSettings) -> DataFra
 
 
 def _compact(texts: DataFrame, s: MinHashSettings) -> DataFrame:
-    """(rep, sig, codes): signature, and the shingle hashes cut to 32 bits, which can only make sets look more alike."""
+    """(rep, sig, codes): signature and full shingle set, as hashes of 64 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_hashes(words_of(t.as_py())) for t in batch.column(1)]
+            some = pa.array([len(h) > 0 for h in sets], pa.bool_())  # an id may have a text without words beside others
+            sets = [h for h in sets if len(h)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array([signature(h, s.positions).tobytes() for h in sets], pa.binary()),
-                    pa.array([(h >> np.uint64(32)).astype("<u4").tobytes() for h in sets], pa.binary()),
+                    batch.column(0).filter(some), pa.array([signature(h, s.positions).tobytes() for h in sets], pa.binary()),
+                    pa.array([h.astype("<u8").tobytes() for h in sets], pa.binary()),
                 ],
                 names=["rep", "sig", "codes"],
             )
@@ -240,14 +242,14 @@ def _with_partners(groups: DataFrame, s: MinHashSettings) -> DataFrame:
 def _linking_pairs(groups: DataFrame, s: MinHashSettings) -> DataFrame:
     """Pairs that link rows of one group (with sig and codes) across components.
 
-    Pairs that survive the signatures are held against the sets, and each pair that joins two components is given
+    Pairs that survive the signatures are confirmed on the full sets, and each pair that joins two components is given
     once: a link between components that are already joined would change nothing. So the pairs given number less
-    than the members.
+    than the members, and components are only joined by confirmed links.
     """
 
     def compare(table: pa.Table) -> pa.Table:
         reps, comps, sides = (table.column(c).to_numpy().copy() for c in ("rep", "comp", "side"))
-        codes = [np.frombuffer(c, "<u4") for c in table.column("codes").to_pylist()]
+        codes = [np.frombuffer(c.as_buffer(), "<u8") for c in table.column("codes")]
         sizes = np.array([len(c) for c in codes])
         left, right = [], []
         for x, against in _partners(_signatures(table, s), comps, sides, table.column("band")[0].as_py(), s):
@@ -347,8 +349,7 @@ def near_duplicates(docs: DataFrame, settings: MinHashSettings = MinHashSettings
     wanted = rest.select(F.col("rep").alias("id")).distinct()
     texts = _likely_texts(wanted, docs, s).join(wanted, "id", "left_semi")
     second = staged(_linking_pairs(rest.join(_compact(texts, s), "rep"), s), "pairs")
-    links = links.unionByName(_confirmed(second, docs, s))
-    comps = components(links)
+    comps = components(links.unionByName(second))
 
     grouped = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     grouped = grouped.select("set_key", F.coalesce("component", "rep").alias("component_id"))

@@ -79,3 +79,21 @@ def test_components(spark, links):
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     want = {} if not links else {2: 1, 1: 1} if len(links) == 1 else {**{i: 0 for i in range(41)}, 99: 99, 100: 99}
     assert got == want
+
+
+def test_second_round_joins_components_by_full_hashes_only(spark):
+    # Equal in the upper 32 bits, so that only full hashes tell the sets of 1 and 2 apart; 3 truly links to 2.
+    high = np.arange(1, 41, dtype=np.uint64) << np.uint64(32)
+    sets = {1: high | np.uint64(1), 2: high | np.uint64(2), 3: np.concatenate([high[:36] | np.uint64(2), high[36:] | np.uint64(3)])}
+    s = M.MinHashSettings()
+    sig = M.signature(sets[2], s.positions).tobytes()
+    rows = [(5, 0, i, i, 0, 0, 2, sig, h.astype("<u8").tobytes()) for i, h in sets.items()]
+    groups = spark.createDataFrame(rows, "bkey long, band int, rep long, comp long, i int, j int, side int, sig binary, codes binary")
+    assert [tuple(r) for r in M._linking_pairs(groups, s).collect()] == [(2, 3)]
+
+
+def test_repeated_id_with_a_text_without_words(frame):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, t) for i in range(6) for t in (text.replace("w59", f"x{i}"), " ", None)]
+    got = M.near_duplicates(frame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 18 and {r["component_id"] for r in got} == {0}
