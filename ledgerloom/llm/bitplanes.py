@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain, pairwise
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.units import Memo, distinct_units, ragged, slices, split_all, splitter
+from ledgerloom.llm.units import Memo, distinct_pieces, distinct_units, ragged, slices, splitter
 
 BLOCK_IDS = 65_536
 _MAGIC = b"LLBP"
@@ -88,22 +89,22 @@ class LibraryEncoder:
         hidden = [b for b in range(256) if b not in shown]
         self.shown = dict(zip(shown + hidden, [*map(chr, shown), *(chr(256 + i) for i in range(len(hidden)))], strict=True))
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after the other, and the number of ids of each."""
         joined = "\0".join(pieces)
         if joined.count("\0") == len(pieces) - 1:
             shown = joined.encode("utf-8").decode("latin-1").translate(self.shown).split(self.shown[0])
         else:
             shown = [p.encode("utf-8").decode("latin-1").translate(self.shown) for p in pieces]
         tokens = [[t.id for t in self.model.tokenize(p)] for p in shown]
-        ends = (4 * np.cumsum([0, *map(len, tokens)])).tolist()
-        ids = np.fromiter(chain.from_iterable(tokens), "<u4", ends[-1] // 4).tobytes()
-        return [ids[a:b] for a, b in pairwise(ends)]
+        return np.fromiter(chain.from_iterable(tokens), "<u4"), np.fromiter(map(len, tokens), np.int64, len(tokens))
 
-    def _encode(self, units: list[str]) -> Iterator[bytes]:
-        split = split_all(units, self.pieces, self.find)
-        distinct = list(set().union(*split))
-        done = dict(zip(distinct, self._pieces(distinct), strict=True))
-        return (done[s[0]] if len(s) == 1 else b"".join([done[p] for p in s]) for s in split)
+    def _encode(self, units: list[str]) -> list[bytes]:
+        pieces, numbers, counts = distinct_pieces(units, self.pieces, self.find)
+        ids, sizes = self._pieces(pieces)
+        joined = ids[ragged((np.cumsum(sizes) - sizes)[numbers], sizes[numbers])].tobytes()
+        ends = np.concatenate(([0], np.cumsum(sizes[numbers])))[np.concatenate(([0], np.cumsum(counts)))]
+        return [joined[a:b] for a, b in pairwise((4 * ends).tolist())]
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -240,18 +241,29 @@ def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
     return grouped.select("doc_id", "start", "n_tokens", whole.alias("ids"))
 
 
+def _times(matrix: list[int], vector: int) -> int:
+    """Product over GF(2) of a matrix, given by its columns, and the bits of a vector."""
+    out = 0
+    while vector:
+        out ^= matrix[(vector & -vector).bit_length() - 1]
+        vector &= vector - 1
+    return out
+
+
+@lru_cache(maxsize=64)
+def _crc_step(k: int) -> list[int]:
+    """Matrix that takes a crc32 register over 2 ** k zero bits, by squaring the one-bit step."""
+    if not k:
+        return [0xEDB88320, *[1 << i for i in range(31)]]  # fixed polynomial of crc32
+    half = _crc_step(k - 1)
+    return [_times(half, c) for c in half]
+
+
 def _crc_zeros(crc: int, n: int) -> int:
-    """crc32 register after n more zero bytes, by squaring the one-bit step over GF(2)."""
-    step = [0xEDB88320, *[1 << i for i in range(31)]]  # one bit: fixed polynomial of crc32
-    times = lambda m, v: np.bitwise_xor.reduce([m[i] for i in range(32) if v >> i & 1] or [0])
-    for _ in range(3):
-        step = [int(times(step, c)) for c in step]  # one byte after three squarings
-    while n:
-        if n & 1:
-            crc = int(times(step, crc))
-        n >>= 1
-        if n:
-            step = [int(times(step, c)) for c in step]
+    """crc32 register after n more zero bytes."""
+    for k in range(n.bit_length()):
+        if n >> k & 1:
+            crc = _times(_crc_step(k + 3), crc)
     return crc
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.units import Memo, distinct_units, slices, split_all, splitter
+from ledgerloom.llm.units import Memo, distinct_pieces, distinct_units, slices, splitter
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -133,15 +133,17 @@ class ReplayEncoder:
         return out
 
     def _encode(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
-        split = split_all(units, self.pieces, self.find)
-        pieces = list(set().union(*split))
+        pieces, numbers, counts = distinct_pieces(units, self.pieces, self.find)
         made = self.replay([p.encode("utf-8") for p in pieces])
-        done = {p: (",".join(map(str, ids)), self.decode(ids)) for p, ids in zip(pieces, made, strict=True)}
-        for parts in split:
-            if len(parts) == 1:
-                yield done[parts[0]]
+        done = [(",".join(map(str, ids)), self.decode(ids)) for ids in made]
+        numbers, at = numbers.tolist(), 0
+        for n in counts.tolist():
+            if n == 1:
+                yield done[numbers[at]]
             else:
-                yield ",".join([done[p][0] for p in parts]), b"".join([done[p][1] for p in parts])
+                parts = [done[k] for k in numbers[at : at + n]]
+                yield ",".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
+            at += n
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of a sequence of ids."""

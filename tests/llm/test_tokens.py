@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers as P
@@ -13,6 +14,7 @@ from tokenizers import Tokenizer
 from ledgerloom.llm import bitplanes as B
 from ledgerloom.llm import bpe_replay as R
 from ledgerloom.llm.staging import new_path
+from ledgerloom.llm.units import Memo, distinct_pieces, distinct_units, splitter, unit_text
 
 LIBRARY, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
 PARTS = [" ", "  ", "\n", "\n\n", "\t", "a", "the", "'s", "'ll", "n't", ".", "…", "é", "日本", "٣", "1", "23", "\x1c", "\x85", "\x0b", "\r", "😀", "<|endoftext|>", "aaaa", "​", "²", "\x00"]
@@ -78,6 +80,41 @@ def test_query_of_token_ids_knows_added_tokens(spark, tmp_path):
         start += len(ids)
 
 
+def test_crc_of_pieces_is_joined_from_few_matrices():
+    made = []
+    step = lambda k, f=B._crc_step.__wrapped__: made.append(k) or f(k)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(B, "_crc_step", lru_cache(step))
+        for n in (1, 5, 65_536, 262_145):
+            data = random.Random(n).randbytes(n + 9)
+            assert B.crc32_joined([(zlib.crc32(data[:9]), 9), (zlib.crc32(data[9:]), n)]) == zlib.crc32(data)
+    assert len(made) == len(set(made)) <= 22
+
+
+def test_a_full_memo_stays_while_it_is_of_use():
+    memo, made = Memo(3), []
+    ask = lambda units: list(map(memo.encode(units, lambda m: made.extend(m) or map(str.upper, m)).__getitem__, units))
+    for units in ("abcd", "abce", "abcf"):
+        memo.start_task()
+        assert ask(list(units)) == list(units.upper())
+    assert made == list("abcdef")
+    for _ in range(2):  # other texts: the task after starts afresh
+        memo.start_task()
+        assert ask(["x", "y"]) == ["X", "Y"]
+    memo.start_task()
+    assert ask(["x", "y"]) == ["X", "Y"] and made == [*"abcdef", "x", "y", "x", "y"]
+
+
+def test_pieces_of_units_in_any_mix():
+    pieces, find = splitter(P.PATTERN)
+    for seed in range(200):
+        keys = [k for k in distinct_units(texts(9, seed), find)[0] if seed % 3 or k[0] in "\0\n"]
+        cut, numbers, counts = distinct_pieces(keys, pieces, find)
+        runs = np.split(numbers, np.cumsum(counts)[:-1]) if keys else []
+        assert len(set(cut)) == len(cut)
+        assert [[cut[i] for i in run] for run in runs] == [pieces(unit_text(k)) for k in keys]
+
+
 def test_long_pieces(ranks):
     text = "ab" * 20_000 + "a" * 5001 + " " * 3000
     ids, data = R.ReplayEncoder(RANKS, P.PATTERN).texts([text])[0]
