@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.units import Memo, distinct_pieces, distinct_units, ragged, slices, splitter
+from ledgerloom.llm.units import Memo, distinct_pieces, distinct_units, ragged, slices, splitter, worker_encoder
 
 BLOCK_IDS = 65_536
 _MAGIC = b"LLBP"
@@ -125,16 +125,9 @@ class LibraryEncoder:
         return [whole[i] if i in whole else ids[a:b] for i, (a, b) in enumerate(pairwise(cuts))]
 
 
-_ENCODERS: dict[tuple[str, str, bool], LibraryEncoder] = {}
-
-
 def library_encoder(path: str, pattern: str, added: bool = False) -> LibraryEncoder:
     """The worker's encoder; its memo outlives a task."""
-    if (path, pattern, added) not in _ENCODERS:
-        _ENCODERS[path, pattern, added] = LibraryEncoder(path, pattern, added=added)
-    encoder = _ENCODERS[path, pattern, added]
-    encoder.memo.start_task()
-    return encoder
+    return worker_encoder(LibraryEncoder, path, pattern, 500_000, added)
 
 
 def write_token_ids(

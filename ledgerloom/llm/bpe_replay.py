@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.units import Memo, distinct_pieces, distinct_units, slices, splitter
+from ledgerloom.llm.units import Memo, distinct_pieces, distinct_units, slices, splitter, worker_encoder
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -38,61 +39,51 @@ class ReplayEncoder:
         self.single = [self.ranks[bytes([b])] for b in range(256)]
         self.pieces, self.find = splitter(pattern)
         self.memo = Memo(memo_units)  # unit -> (decimal ids joined by commas, decoded bytes)
-        self.pair_rank: dict[int, int] = {}
-        self.max_pairs = pairs
+        self.base = np.array(self.single, np.int32)
+        rank = [self.ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+        self.byte_pairs = np.array(rank, np.int32).reshape(256, 256)
+        # Rank of the token that a pair merges into, or -1, of the pairs met: by left and right symbol, and by right and left.
+        self.by_left: defaultdict[int, dict[int, int]] = defaultdict(dict)
+        self.by_right: defaultdict[int, dict[int, int]] = defaultdict(dict)
+        self.n_pairs, self.max_pairs = 0, pairs
 
     def _rank(self, left: int, right: int) -> int:
-        """Rank of the token that a pair merges into, or -1; kept in the table of pairs."""
+        """Rank of the token that a pair merges into, or -1; kept in the tables of pairs."""
         rank = self.ranks.get(self.tokens[left] + self.tokens[right], -1)
-        self.pair_rank[left << 32 | right] = rank
+        self.by_left[left][right] = self.by_right[right][left] = rank
+        self.n_pairs += 1
         return rank
 
     def replay(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each piece. A piece that is a token as a whole is that token."""
-        if len(self.pair_rank) > self.max_pairs:
-            self.pair_rank.clear()
-        known, rank_of, single = self.pair_rank, self._rank, self.single
-        out: list[list[int] | None] = [None] * len(pieces)
-        symbols: list[int] = []
-        after: list[int] = []
-        before: list[int] = []
-        rank_at: list[int] = []  # of the pair that now starts here; -1 none
-        starts: list[tuple[int, int]] = []
-        index: dict[int, list[int]] = {}
-        for i, piece in enumerate(pieces):
-            whole = self.ranks.get(piece)
-            if whole is not None or not piece:
-                out[i] = [whole] if piece else []
-                continue
-            at, n = len(symbols), len(piece)
-            starts.append((i, at))
-            chain = [single[b] for b in piece]
-            symbols += chain
-            before.append(-1)
-            before += range(at, at + n - 1)
-            after += range(at + 1, at + n)
-            after.append(-1)
-            left = chain[0]
-            for x in range(1, n):
-                right = chain[x]
-                rank = known.get(left << 32 | right)
-                if rank is None:
-                    rank = rank_of(left, right)
-                rank_at.append(rank)
-                if rank >= 0:
-                    if rank in index:
-                        index[rank].append(at + x - 1)
-                    else:
-                        index[rank] = [at + x - 1]
-                left = right
-            rank_at.append(-1)
-
-        queue = list(index)
+        if self.n_pairs > self.max_pairs:
+            self.by_left.clear()
+            self.by_right.clear()
+            self.n_pairs = 0
+        out = [[] if whole is None else [whole] for whole in map(self.ranks.get, pieces)]
+        cut = [i for i, (piece, ids) in enumerate(zip(pieces, out, strict=True)) if piece and not ids]
+        if not cut:
+            return out
+        data = np.frombuffer(b"".join([pieces[i] for i in cut]), np.uint8)
+        ends = np.cumsum([len(pieces[i]) for i in cut])
+        starts = np.concatenate(([0], ends[:-1]))
+        ranks = np.full(len(data), -1, np.int32)  # of the pair that starts here; -1 none
+        ranks[:-1] = self.byte_pairs[data[:-1], data[1:]]
+        ranks[ends - 1] = -1
+        places = np.argsort(ranks, kind="stable")[np.count_nonzero(ranks < 0) :]
+        found, at = np.unique(ranks[places], return_index=True)
+        index = {rank: p.tolist() for rank, p in zip(found.tolist(), np.split(places, at[1:]), strict=True)} if len(found) else {}
+        left, right = np.arange(-1, len(data) - 1), np.arange(1, len(data) + 1)
+        left[starts] = right[ends - 1] = -1
+        symbols, before, after, rank_at = self.base[data].tolist(), left.tolist(), right.tolist(), ranks.tolist()
+
+        queue, rank_of = list(index), self._rank
         heapq.heapify(queue)
         while queue:
             merged = heapq.heappop(queue)
             places = index.pop(merged)
             places.sort()
+            with_right, with_left = self.by_left[merged], self.by_right[merged]
             for x in places:
                 if rank_at[x] != merged:
                     continue  # a neighbour has merged since
@@ -102,7 +93,7 @@ class ReplayEncoder:
                 rank_at[y] = rank_at[x] = -1
                 if z >= 0:
                     before[z] = x
-                    rank = known.get(merged << 32 | symbols[z])
+                    rank = with_right.get(symbols[z])
                     if rank is None:
                         rank = rank_of(merged, symbols[z])
                     if rank >= 0:
@@ -114,7 +105,7 @@ class ReplayEncoder:
                             heapq.heappush(queue, rank)
                 w = before[x]
                 if w >= 0:
-                    rank = known.get(symbols[w] << 32 | merged)
+                    rank = with_left.get(symbols[w])
                     if rank is None:
                         rank = rank_of(symbols[w], merged)
                     rank_at[w] = rank
@@ -124,12 +115,13 @@ class ReplayEncoder:
                         else:
                             index[rank] = [w]
                             heapq.heappush(queue, rank)
-        for i, x in starts:
-            ids = []
-            while x >= 0:
-                ids.append(symbols[x])
-                x = after[x]
-            out[i] = ids
+        # A symbol that was merged away is no longer the one after the symbol before it.
+        left = np.array(before)
+        alive = (left < 0) | (np.array(after)[left] == np.arange(len(left)))
+        kept = np.concatenate(([0], np.cumsum(alive)))
+        ids = np.array(symbols)[alive].tolist()
+        for i, a, b in zip(cut, kept[starts].tolist(), kept[ends].tolist(), strict=True):
+            out[i] = ids[a:b]
         return out
 
     def _encode(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
@@ -161,16 +153,9 @@ class ReplayEncoder:
         return out
 
 
-_ENCODERS: dict[tuple[str, str], ReplayEncoder] = {}
-
-
 def replay_encoder(path: str, pattern: str) -> ReplayEncoder:
     """The worker's encoder; its memo outlives a task."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = ReplayEncoder(path, pattern)
-    encoder = _ENCODERS[path, pattern]
-    encoder.memo.start_task()
-    return encoder
+    return worker_encoder(ReplayEncoder, path, pattern)
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -115,6 +115,15 @@ def test_pieces_of_units_in_any_mix():
         assert [[cut[i] for i in run] for run in runs] == [pieces(unit_text(k)) for k in keys]
 
 
+def test_replay_takes_byte_pairs_from_an_array(ranks):
+    encoder = R.ReplayEncoder(RANKS, P.PATTERN)
+    words = [f"{a}qz{b}xj{a}" for a in "abcdefgh" for b in "klmnopq"]
+    assert encoder.replay([*map(str.encode, words), b"", b"a"]) == [*map(ranks, words), [], ranks("a")]
+    single = set(encoder.single)
+    assert not any(left in single and right in single for left, found in encoder.by_left.items() for right in found)
+    assert sum(map(len, encoder.by_left.values())) == sum(map(len, encoder.by_right.values())) == encoder.n_pairs
+
+
 def test_long_pieces(ranks):
     text = "ab" * 20_000 + "a" * 5001 + " " * 3000
     ids, data = R.ReplayEncoder(RANKS, P.PATTERN).texts([text])[0]
