@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.bloom import bloom_blocks, possible
 from ledgerloom.llm.components import components
 from ledgerloom.llm.staging import staged
+from ledgerloom.llm.units import free_encoders
 
 SHINGLE = 5
 
@@ -123,6 +124,7 @@ def shingle_features(docs: DataFrame, s: MinHashSettings) -> DataFrame:
     words gets a key of its own id, so that it equals nothing but its own repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_encoders()
         for batch in batches:
             counts, keys, sigs = [], [], []
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -164,6 +166,7 @@ def _compact(texts: DataFrame, s: MinHashSettings) -> DataFrame:
     """(rep, sig, codes): signature and full shingle set, as hashes of 64 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_encoders()
         for batch in batches:
             sets = [shingle_hashes(words_of(t.as_py())) for t in batch.column(1)]
             some = pa.array([len(h) > 0 for h in sets], pa.bool_())  # an id may have a text without words beside others
@@ -285,6 +288,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, s: MinHashSettings) -> DataFra
     joined = joined.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_encoders()
         @lru_cache(maxsize=64)
         def hashes(text: str | None) -> np.ndarray:
             return shingle_hashes(words_of(text))

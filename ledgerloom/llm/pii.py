@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.units import free_encoders
+
 # Kinds in their order, and the patterns of the contract.
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -287,6 +289,7 @@ def masked_documents(docs: DataFrame) -> DataFrame:
     rows and columns stay; a null text stays null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_encoders()
         for batch in batches:
             texts = [None if t is None else masked(t, find_spans(t)[1]) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])

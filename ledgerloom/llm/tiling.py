@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.staging import staged
+from ledgerloom.llm.units import free_encoders
 
 _SEPARATE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -206,6 +207,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, settings: TilingSettin
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)  # 2 ** bitmap_bits bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_encoders()
         bits, shift = shared.value, np.uint64(64 - s.bitmap_bits)
         for batch in batches:
             rows, found = [], []

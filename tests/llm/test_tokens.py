@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 from ledgerloom.llm import bitplanes as B
 from ledgerloom.llm import bpe_replay as R
+from ledgerloom.llm import units
 from ledgerloom.llm.staging import new_path
 from ledgerloom.llm.units import Memo, distinct_pieces, distinct_units, splitter, unit_text
 
@@ -124,6 +125,23 @@ def test_replay_takes_byte_pairs_from_an_array(ranks):
     assert sum(map(len, encoder.by_left.values())) == sum(map(len, encoder.by_right.values())) == encoder.n_pairs
 
 
+def test_operators_that_encode_nothing_free_the_encoder(frame, monkeypatch):
+    from ledgerloom.llm import minhash, tiling
+
+    df, tasks = frame([(1, "the words")], "doc_id long, text string"), []
+    keep = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, task, *a, **b: tasks.append(task) or keep(self, task, *a, **b))
+    minhash.shingle_features(df, minhash.MinHashSettings())
+    tiling.contaminated_pairs(df, frame([(1, "a word")], "item_id long, text string"))
+    for task in (tasks[0], tasks[2]):
+        encoder = R.replay_encoder(RANKS, P.PATTERN)
+        assert R.replay_encoder(RANKS, P.PATTERN) is encoder
+        list(task(iter([])))
+        assert R.replay_encoder(RANKS, P.PATTERN) is not encoder
+    B.library_encoder(LIBRARY, P.PATTERN)
+    assert len(units._ENCODERS) == 1
+
+
 def test_long_pieces(ranks):
     text = "ab" * 20_000 + "a" * 5001 + " " * 3000
     ids, data = R.ReplayEncoder(RANKS, P.PATTERN).texts([text])[0]
