@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerloom.llm import bpe_replay, language, minhash, pii, tiling
+from ledgerloom.llm.bloom import bloom_blocks, impossible, possible
 from ledgerloom.llm.queries import RANK_VOCABULARY, table
 from ledgerloom.llm.staging import staged
 
@@ -23,14 +24,18 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group. Of rows that repeat its doc_id, the first by hash
     and order of the text stays. Documents with a null doc_id all stay."""
-    kept = minhash.near_duplicates(docs).where("doc_id is not null and kept")
-    ids = staged(kept.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n")), "kept-ids")
-    of = lambda n: docs.join(ids.where(n).select("kept_id"), F.col("doc_id") == F.col("kept_id"), "left_semi")
+    judged = minhash.near_duplicates(docs).where("doc_id is not null").groupBy(F.col("doc_id").alias("judged_id"))
+    others = staged(judged.agg(F.count_if("kept").alias("n")).where("n <> 1"), "other-ids")
+    # Most documents stay as they are: a filter of bounded size finds them without moving their texts.
+    named, blocks = docs.where("doc_id is not null"), 1 << 15
+    filter_ = staged(bloom_blocks(others, F.col("judged_id"), blocks), "other-ids-filter")
+    sure, asked = (f(named, F.col("doc_id").cast("long"), filter_, blocks) for f in (impossible, possible))
+    of = lambda ids, how: asked.join(ids.select("judged_id"), F.col("doc_id") == F.col("judged_id"), how)
     # Only rows that share their doc_id are held against each other.
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text") and not c.startswith("__")]
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text", *rest))
-    first = of("n > 1").withColumn("__place", place).where("__place = 1").drop("__place")
-    return of("n = 1").unionByName(first).unionByName(docs.where("doc_id is null"))
+    first = of(others.where("n > 1"), "left_semi").withColumn("__place", place).where("__place = 1").drop("__place")
+    return sure.unionByName(of(others, "left_anti")).unionByName(first).unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

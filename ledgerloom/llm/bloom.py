@@ -25,10 +25,21 @@ def bloom_blocks(keys: DataFrame, key: Column, blocks: int) -> DataFrame:
     return words.groupBy("block").agg(F.array(*filled).alias("words"))
 
 
-def possible(rows: DataFrame, key: Column, filter_: DataFrame, blocks: int) -> DataFrame:
-    """Rows whose key may be in the filter: all that are, and a few others. The filter is broadcast, which its number
-    of blocks bounds at 64 bytes each."""
+def _asked(rows: DataFrame, key: Column, filter_: DataFrame, blocks: int, how: str) -> tuple[DataFrame, Column]:
     block, bits = _probe(key, blocks)
     asked = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), block.alias("block"), bits.alias("bits"))
     is_set = F.expr("forall(bits, b -> (shiftright(words[cast(b / 64 as int)], b % 64) & 1L) = 1L)")
-    return asked.join(F.broadcast(filter_), "block").where(is_set).select("row.*")
+    return asked.join(F.broadcast(filter_), "block", how), is_set
+
+
+def possible(rows: DataFrame, key: Column, filter_: DataFrame, blocks: int) -> DataFrame:
+    """Rows whose key may be in the filter: all that are, and a few others. The filter is broadcast, which its number
+    of blocks bounds at 64 bytes each."""
+    asked, is_set = _asked(rows, key, filter_, blocks, "inner")
+    return asked.where(is_set).select("row.*")
+
+
+def impossible(rows: DataFrame, key: Column, filter_: DataFrame, blocks: int) -> DataFrame:
+    """All other rows: their key is not in the filter."""
+    asked, is_set = _asked(rows, key, filter_, blocks, "left")
+    return asked.where(F.col("words").isNull() | ~is_set).select("row.*")

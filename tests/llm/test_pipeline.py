@@ -156,3 +156,16 @@ def test_repetitive_items_take_linear_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert tiles == [(0, 0, 2_000)] and peak < 100 * 2**20
+
+
+def test_most_texts_stay_without_a_shuffle(spark, frame, monkeypatch):
+    rows = [(i, f"text {i} of its own kind and words {i} {i + 1}") for i in range(300)]
+    rows += [(300 + i, rows[i][1]) for i in range(20)] + [(7, rows[7][1]), (8, "quite another text"), (None, "no id"), (None, None)]
+    docs = frame(rows, "doc_id long, text string")
+    asked = []
+    monkeypatch.setattr(C, "possible", lambda *a, f=C.possible: asked.append(f(*a)) or asked[0])
+    got = [tuple(r) for r in C.keep_one_of_near_duplicates(spark, docs, "").select("doc_id", "text").collect()]
+    eight = [r for r in got if r[0] == 8]
+    assert len(eight) == 1 and eight[0] in {rows[8], (8, "quite another text")}
+    assert sorted((r for r in got if r[0] != 8), key=str) == sorted([*(r for r in rows[:300] if r[0] != 8), *rows[-2:]], key=str)
+    assert 24 <= asked[0].count() <= 40
