@@ -32,7 +32,9 @@ def match_patterns(names: DataFrame, rules: DataFrame, fold_case: bool = False)
     """
     fold = F.upper if fold_case else (lambda c: c)
     texts = names.where(F.col("name").isNotNull()).select(F.col("name"), fold(F.col("name")).alias("text")).distinct()
-    rules = rules.where(F.col("pattern").isNotNull()).select("rank", fold(F.col("pattern")).alias("pattern"), "label")
+    # Of rules with one pattern only the first can be a text's first.
+    distinct = rules.where(F.col("pattern").isNotNull()).groupBy(fold(F.col("pattern")).alias("pattern"))
+    rules = distinct.agg(F.min(F.struct("rank", "label")).alias("first")).select("first.rank", "pattern", "first.label")
 
     # A backslash makes the next character literal; such patterns are not taken apart.
     longest = F.least(F.array_max(F.transform(_literals(F.col("pattern")), F.length)), F.lit(GRAM))

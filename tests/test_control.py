@@ -92,6 +92,26 @@ def test_index_equals_one_branch_per_pattern(spark):
     assert {r["name"] for r in folded.collect()} == {"ACME Corp", "acme", "Big Acme Ltd"}
 
 
+def most_joined(plan):
+    """Rows of the join that made the most, in a plan that has run."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return most_joined(plan.executedPlan())
+    if "QueryStage" in name:
+        return most_joined(plan.plan())
+    children = plan.children()
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in name else 0
+    return max([own, *[most_joined(children.apply(i)) for i in range(children.size())]])
+
+
+def test_rules_that_share_a_pattern_are_met_once(spark):
+    names = spark.range(30).select(F.concat(F.lit("Vendor "), F.col("id")).alias("name"))
+    ranked = "100 - id AS rank", "IF(id % 2 = 0, '%endor%', '%ENDOR%') AS pattern", "CAST(id AS string) AS label"
+    matched = match_patterns(names, spark.range(100).selectExpr(*ranked), fold_case=True)
+    assert {(r["label"], r["rank"]) for r in matched.collect()} == {("99", 1)}
+    assert most_joined(matched._jdf.queryExecution().executedPlan()) <= 60
+
+
 def test_no_rules_and_no_names(spark):
     schema = "rank long, pattern string, label string"
     names = spark.createDataFrame([("a",)], "name string")
