@@ -40,4 +40,7 @@ def with_members(df: DataFrame, document: str, members: Mapping[str, str]) -> Da
     if set(stored.values()) <= set(df.columns):
         return df.select(*rest, *[F.col(c).alias(name) for name, c in stored.items()])
     parsed = with_json(df, document)
-    return parsed.select(*rest, *[json_value(document, path).alias(name) for name, path in members.items()])
+    # Generated, so that no filter evaluates them again, and as texts: Spark takes a variant for 2 KB, and rows that drop one
+    # for so much smaller that it would broadcast millions of them.
+    texts = F.array(F.struct(*[json_value(document, path).alias(f"__{name}") for name, path in members.items()]))
+    return parsed.select(*rest, F.inline(texts)).withColumnsRenamed({f"__{name}": name for name in members})

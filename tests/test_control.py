@@ -61,6 +61,21 @@ def test_rewards_ledger_over_stored_members_reads_no_document(spark, sf_dir, tmp
     assert rows(got) == rows(rewards.loaded(t, RULES, *dates))
 
 
+def estimated_bytes(df):
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def test_members_are_not_planned_as_small(spark, tmp_path):
+    path = str(tmp_path / "documents")
+    spark.range(20_000).selectExpr("id", """concat('{"amount": ', id, ', "id": "N', id, '"}') AS member""").write.parquet(path)
+    documents = spark.read.parquet(path)
+    files = sum(f.stat().st_size for f in (tmp_path / "documents").glob("*.parquet"))
+    taken = with_members(documents, "member", {"amount text": "$.amount", "bonus": "$.id"})
+    assert estimated_bytes(documents) >= 5 * files  # rows in memory against Parquet
+    assert estimated_bytes(taken) >= estimated_bytes(documents)
+    assert rows(taken.where("id IN (7, 11)")) == [(7, "7", "N7"), (11, "11", "N11")]
+
+
 # ---- patterns ------------------------------------------------------------------------------------------
 
 NAMES = ["ACME Corp", "acme", "Big Acme Ltd", "x%y", "a_b", "ab", "", None, "Ünïcode Shop", "Shop", "sho", "ACME Corp", "a\\b"]
