@@ -3,14 +3,17 @@
 import datetime as dt
 import glob
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import RULES, ViewTables, queries
 from helpers import rows
 from ledgerloom.operators.reconcile import apply_delta, reconcile, reconcile_delta
 from ledgerloom.operators.running import RunningTotals
 from ledgerloom.operators.series import cumulative_by_calendar
+from ledgerloom.plans import revenue
 from ledgerloom.sources import ordered
 from ledgerloom.sources.incremental import StoredCube, fingerprints
 
@@ -279,3 +282,33 @@ def test_extension_reads_only_the_months_it_is_given(spark, tmp_path):
     totals.extend(new, "month_act")
     last = totals.read().where("kpi = 'total_minutes'").orderBy(F.desc("month")).first()
     assert last["total"] == 19 and last["seen"] == 6
+
+
+# ---- disk ----------------------------------------------------------------------------------------------
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def left_behind(spark, before):
+    """Shuffle files that are still there some seconds later."""
+    for _ in range(40):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.25)
+    return left
+
+
+def test_parts_of_the_pnl_are_stored(spark, sf_dir):
+    before = shuffle_files(spark)
+    plan = queries()["consolidated_pnl"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan parquet") == 5
+    assert not left_behind(spark, before)
+
+
+def test_buildup_sums_per_holding_without_a_shuffle_of_its_own(spark, sf_dir):
+    months = revenue.reconciled_months(ViewTables(spark, sf_dir), RULES, revenue.BUILDUPS["with_product"])
+    plan = months._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(holding_name" in plan and "hashpartitioning(service_date" not in plan
