@@ -7,22 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.shared import Store, not_stored
+
 
 def differences(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], measures: Sequence[str], tolerance: float = 0.0
+    left: DataFrame, right: DataFrame, keys: Sequence[str], measures: Sequence[str], tolerance: float = 0.0,
+    store: Store = not_stored,
 ) -> DataFrame:
     """Keys whose summed measures or rows differ, with a reason and the difference left - right of each measure.
 
     Both sides are summed per key (NULL keys match each other) before they meet, so neither side's rows are multiplied.
     `reason` is 'only left', 'only right', 'value' or, where only the number of rows differs, 'rows'. A NULL sum differs
     from a number. `<measure>_left`, `_right` and `_difference` follow, and `rows_difference`.
+    `store` takes the sums of either side, the left one first.
     """
 
     def summed(df: DataFrame, side: str) -> DataFrame:
         columns = [F.sum(m).alias(f"{m}_{side}") for m in measures]
         return df.groupBy(*keys).agg(*columns, F.count(F.lit(1)).alias(f"rows_{side}"))
 
-    a, b = summed(left, "left"), summed(right, "right")
+    a = store("left", summed(left, "left"))
+    b = store("right", summed(right, "right"))
     b = b.withColumnsRenamed({k: f"__{k}" for k in keys})
     match = [a[k].eqNullSafe(b[f"__{k}"]) for k in keys]
     both = a.join(b, match, "full")

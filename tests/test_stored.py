@@ -312,3 +312,10 @@ def test_buildup_sums_per_holding_without_a_shuffle_of_its_own(spark, sf_dir):
     months = revenue.reconciled_months(ViewTables(spark, sf_dir), RULES, revenue.BUILDUPS["with_product"])
     plan = months._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(holding_name" in plan and "hashpartitioning(service_date" not in plan
+
+
+def test_sides_of_a_comparison_are_stored(spark, sf_dir):
+    before = shuffle_files(spark)
+    plan = queries()["cube_against_buildup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("FileScan parquet") == 2
+    assert not left_behind(spark, before)
