@@ -319,3 +319,12 @@ def test_sides_of_a_comparison_are_stored(spark, sf_dir):
     plan = queries()["cube_against_buildup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Aggregate" not in plan and plan.count("FileScan parquet") == 2
     assert not left_behind(spark, before)
+
+
+def test_a_refresh_leaves_no_shuffle_files(spark, tmp_path):
+    rows_ = spark.range(500).select("id", (F.col("id") % 3).alias("period"))
+    before = shuffle_files(spark)
+    cube = StoredCube(spark, str(tmp_path / "cube"))
+    assert len(cube.refresh({"rows": (rows_, F.col("period"))}, lambda parts: parts["rows"].groupBy("period").count())) == 3
+    assert not left_behind(spark, before)
+    assert {tuple(r) for r in cube.read().select("period", "count").collect()} == {(0, 167), (1, 167), (2, 166)}
