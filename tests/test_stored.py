@@ -15,6 +15,7 @@ from ledgerloom.operators.running import RunningTotals
 from ledgerloom.operators.series import cumulative_by_calendar
 from ledgerloom.plans import revenue
 from ledgerloom.sources import ordered
+from ledgerloom.sources.cubes import write_cube
 from ledgerloom.sources.incremental import StoredCube, fingerprints
 
 
@@ -328,3 +329,10 @@ def test_a_refresh_leaves_no_shuffle_files(spark, tmp_path):
     assert len(cube.refresh({"rows": (rows_, F.col("period"))}, lambda parts: parts["rows"].groupBy("period").count())) == 3
     assert not left_behind(spark, before)
     assert {tuple(r) for r in cube.read().select("period", "count").collect()} == {(0, 167), (1, 167), (2, 166)}
+
+
+def test_a_written_cube_leaves_no_shuffle_files(spark, tmp_path):
+    before = shuffle_files(spark)
+    write_cube(spark.range(500).groupBy((F.col("id") % 3).alias("year")).count(), str(tmp_path / "cube"))
+    assert not left_behind(spark, before)
+    assert spark.read.parquet(str(tmp_path / "cube")).count() == 3
